@@ -10,8 +10,9 @@ from ..functions.bands import days_to_band
 from ..functions.parse import finite, key_text, norm_text, plain_number
 from .quantiles import exact_quantiles, quantiles_of_cells
 
-# grouping_id(make, model, year) -> match level
-LEVELS = {0: "make/model/year", 1: "make/model", 3: "make", 7: "global"}
+# match level -> keys that must agree, finest first
+LEVELS = {"make/model/year": ["make", "model", "year"], "make/model": ["make", "model"],
+          "make": ["make"], "global": []}
 NO_YEAR = -1
 
 
@@ -27,20 +28,20 @@ def market_benchmark(df: DataFrame, value_col: str | None = None) -> DataFrame:
         retail = F.col("source_channel") == "retail"
         retail_rows = df.where(retail).agg(F.count(F.lit(1)).alias("n")).scalar()
         base = df.where((retail_rows <= config.RETAIL_MIN_ROWS) | retail)
-    cells = (base.select("make", "model", "year", F.col(value_col).cast("double").alias("value"))
-             .dropna().groupBy("make", "model", "year", "value")
-             .agg(F.count(F.lit(1)).alias("cell_n")))
     keys = ["make", "model", "year"]
-    grains = cells.groupingSets(
-        [[*keys, "value"], ["make", "model", "value"], ["make", "value"], ["value"]],
-        *keys, "value",
-    ).agg(F.sum("cell_n").alias("cell_n"), F.grouping_id().alias("gid"))
-    grains = grains.withColumn("grain", F.shiftright("gid", 1))
-    medians = quantiles_of_cells(grains, ["grain", *keys], "value", "cell_n", [0.5])
-    level = F.when(F.col("grain") == 0, LEVELS[0])
-    for grain, name in LEVELS.items():
-        level = level.when(F.col("grain") == grain, name)
-    return medians.select(level.alias("level"), *keys, F.col("q0").alias("value"), "n")
+    cells = (base.select(*keys, F.col(value_col).cast("double").alias("value")).dropna()
+             .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cell_n")))
+    # Each cell counts at four grains; blanks stand for the keys a coarser grain drops.
+    blank = {"make": F.lit(""), "model": F.lit(""), "year": F.lit(NO_YEAR)}
+    grains = cells.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("level"), *[
+            (F.col(k) if k in kept else blank[k]).alias(k) for k in keys])
+        for name, kept in LEVELS.items()])).alias("g"), "value", "cell_n")
+    medians = quantiles_of_cells(grains.select("g.*", "value", "cell_n"), ["level", *keys],
+                                 "value", "cell_n", [0.5])
+    at_grain = [F.when(F.col("level").isin([n for n, kept in LEVELS.items() if k in kept]),
+                       F.col(k)).alias(k) for k in keys]
+    return medians.select("level", *at_grain, F.col("q0").alias("value"), "n")
 
 
 def global_value(bench: DataFrame) -> Column:
@@ -61,26 +62,23 @@ def lookup_market(keys: DataFrame, bench: DataFrame) -> DataFrame:
 
     ``bench`` is read once per level, so pass a stored table.
     """
-    def level(name: str, tag: str, on: list[str]) -> DataFrame:
-        return (bench.where((F.col("level") == name) & F.col("make").isNotNull())
-                .select(*on, F.col("value").alias(f"_v_{tag}"), F.col("n").alias(f"_n_{tag}")))
-
-    found = keys
-    tags = {"mmy": ("make/model/year", ["make", "model", "year"]),
-            "mm": ("make/model", ["make", "model"]), "mk": ("make", ["make"])}
-    for tag, (name, on) in tags.items():
-        found = found.join(level(name, tag, on), on, "left")
-    overall = bench.where((F.col("level") == "global") & (F.col("value") > 0))
-    values = [F.col(f"_v_{t}") for t in tags] + [overall.agg(F.max("value").alias("v")).scalar()]
-    counts = [F.col(f"_n_{t}") for t in tags] + [overall.agg(F.max("n").alias("n")).scalar()]
-    matched = F.when(values[0].isNotNull(), LEVELS[0])
-    matched_n = F.when(values[0].isNotNull(), counts[0])
-    for value, n, name in list(zip(values, counts, LEVELS.values()))[1:]:
-        matched = matched.when(value.isNotNull(), name)
-        matched_n = matched_n.when(value.isNotNull(), n)
+    found, values, counts = keys, [], []
+    for i, (name, on) in enumerate(LEVELS.items()):
+        rows = bench.where(F.col("level") == name)
+        if on:
+            found = found.join(rows.select(*on, F.col("value").alias(f"_v{i}"),
+                                           F.col("n").alias(f"_n{i}")), on, "left")
+            values.append(F.col(f"_v{i}"))
+            counts.append(F.col(f"_n{i}"))
+        else:
+            overall = rows.where(F.col("value") > 0)
+            values.append(overall.agg(F.max("value").alias("v")).scalar())
+            counts.append(overall.agg(F.max("n").alias("n")).scalar())
+    level, n = F.when(F.lit(False), ""), F.when(F.lit(False), F.lit(0).cast("long"))
+    for value, count, name in zip(values, counts, LEVELS):
+        level, n = level.when(value.isNotNull(), name), n.when(value.isNotNull(), count)
     return found.select(*keys.columns, F.coalesce(*values).alias("lookup_value"),
-                        matched.otherwise("none").alias("lookup_level"),
-                        matched_n.alias("lookup_n"))
+                        level.otherwise("none").alias("lookup_level"), n.alias("lookup_n"))
 
 
 def latest_days(table: DataFrame) -> DataFrame:
@@ -135,15 +133,18 @@ def comparables(listings: DataFrame) -> DataFrame:
     ))
     rows = listings.select(
         key_text(F.col("make")).alias("make"), key_text(F.col("model")).alias("model"),
-        F.col("year").cast("int").alias("year"), key_text(F.col("state")).alias("state"),
+        F.coalesce(F.col("year").cast("int"), F.lit(NO_YEAR)).alias("year"),
+        key_text(F.col("state")).alias("state"),
         measures.alias("m"))
     rows = rows.select(*keys, "m.measure", "m.value").where(
         F.col("value").isNotNull() & ~F.isnan("value"))
     cells = rows.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("cell_n"))
-    whole = [*keys, "measure", "value"]
-    grains = cells.groupingSets(
-        [whole, [c for c in whole if c != "state"]], *whole,
-    ).agg(F.sum("cell_n").alias("cell_n"), F.grouping("state").alias("any_state"))
+    scopes = F.explode(F.array(
+        F.struct(F.lit(0).alias("any_state"), F.col("state").alias("in_state")),
+        F.struct(F.lit(1), F.lit(""))))
+    grains = cells.select("*", scopes.alias("scope")).select(
+        "make", "model", "year", "scope.any_state", F.col("scope.in_state").alias("state"),
+        "measure", "value", "cell_n")
     medians = quantiles_of_cells(grains, ["any_state", *keys, "measure"], "value",
                                  "cell_n", [0.5])
 
@@ -153,7 +154,8 @@ def comparables(listings: DataFrame) -> DataFrame:
     return (medians.groupBy("any_state", *keys)
             .agg(of("price", "q0").alias("live_value"), of("dom", "q0").alias("live_days"),
                  of("n", "n").alias("live_n"))
-            .where(F.col("live_value").isNotNull()))
+            .where(F.col("live_value").isNotNull())
+            .withColumn("state", F.when(F.col("any_state") == 0, F.col("state"))))
 
 
 def lookup_live(keys: DataFrame, live: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per unit of ln(1 + |value|): a bucket spans about 0.1 % of the value, so the
+# Buckets per unit of ln(1 + |value|): a bucket spans about 0.4 % of the value, so the
 # number of buckets of a group depends on the range of its values, not on its rows.
-BUCKETS_PER_LOG = 1024
+BUCKETS_PER_LOG = 256
 
 
 def value_bucket(value: Column) -> Column:
@@ -28,7 +28,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float]) -> DataFrame:
     """Linear-interpolation quantiles of ``value`` per ``keys``: keys, n, q0, q1, ...
 
-    NULL values are ignored. With no keys the result is one row (all NULL if empty).
+    Keys must not be NULL; NULL values are ignored. With no keys the result is one row
+    (all NULL if empty).
     """
     cells = (df.where(F.col(value).isNotNull())
              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
@@ -37,34 +38,34 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
 def quantiles_of_cells(cells: DataFrame, keys: Sequence[str], value: str, count: str,
                        probs: Sequence[float]) -> DataFrame:
-    """As :func:`exact_quantiles`, from rows already counted per (keys, value)."""
-    cells = cells.select(*keys, value, F.col(count).alias("_n"),
-                         value_bucket(F.col(value)).alias("_b"))
+    """As :func:`exact_quantiles`, from rows that carry a ``count`` of their value."""
+    # One exchange by (keys, bucket) serves the histogram, the join and the ranking. The
+    # filter is what the join would infer for one branch only; stated here, both branches
+    # of the plan stay equal and Spark runs the exchange once.
+    bucket = [*keys, "_b"]
+    cells = (cells.select(*keys, value, F.col(count).alias("_n"),
+                          value_bucket(F.col(value)).alias("_b"))
+             .where(" AND ".join(f"{c} IS NOT NULL" for c in bucket))
+             .repartition(*[F.col(c) for c in bucket])
+             .groupBy(*bucket, value).agg(F.sum("_n").alias("_n")))
 
     # Rank range of each bucket inside its group.
     group = Window.partitionBy(*(keys or [F.lit(0)]))
     upto = F.sum("_bn").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-    ranges = (cells.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-              .select(*keys, "_b", F.sum("_bn").over(group).alias("_total"),
+    ranges = (cells.groupBy(*bucket).agg(F.sum("_n").alias("_bn"))
+              .select(*bucket, F.sum("_bn").over(group).alias("_total"),
                       (upto - F.col("_bn")).alias("_first"), upto.alias("_next")))
     spots = [(F.floor(p * (F.col("_total") - 1)), F.ceil(p * (F.col("_total") - 1)))
              for p in probs]
     holds = F.lit(False)
-    for low, high in spots:
-        holds = holds | (low.between(F.col("_first"), F.col("_next") - 1)
-                         | high.between(F.col("_first"), F.col("_next") - 1))
-    wanted = ranges.where(holds).select(
-        *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_b").alias("_w_b"),
-        "_total", "_first")
+    for rank in (r for spot in spots for r in spot):
+        holds = holds | rank.between(F.col("_first"), F.col("_next") - 1)
+    wanted = ranges.where(holds).select(*bucket, "_total", "_first")
 
     # Exact ranks inside the wanted buckets only.
-    same = F.col("_b") == F.col("_w_b")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
-    inside = Window.partitionBy(*keys, "_b").orderBy(value)
-    end = F.col("_first") + F.sum("_n").over(
-        inside.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = cells.join(wanted, same).select(
+    inside = Window.partitionBy(*bucket).orderBy(value)
+    end = F.col("_first") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = cells.join(wanted, bucket).select(
         *keys, value, "_total", (end - F.col("_n")).alias("_start"), (end - 1).alias("_end"))
 
     def at(rank: Column) -> Column:
