@@ -126,22 +126,23 @@ def comparables(listings: DataFrame) -> DataFrame:
     listings; groups without a price are left out. Rows over all states carry NULL state.
     """
     keys = ["make", "model", "year", "state"]
-    measures = F.explode(F.array(
-        F.struct(F.lit("n").alias("measure"), F.lit(0.0).alias("value")),
-        F.struct(F.lit("price"), F.when(F.col("price") > 0, F.col("price").cast("double"))),
-        F.struct(F.lit("dom"), F.when(F.col("dom") >= 0, F.col("dom").cast("double"))),
-    ))
+    measures = {"n": F.lit(0.0),
+                "price": F.when(F.col("price") > 0, F.col("price").cast("double")),
+                "dom": F.when(F.col("dom") >= 0, F.col("dom").cast("double"))}
+    measured = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("measure"), value.alias("value"))
+        for name, value in measures.items()]))
     rows = listings.select(
         key_text(F.col("make")).alias("make"), key_text(F.col("model")).alias("model"),
         F.coalesce(F.col("year").cast("int"), F.lit(NO_YEAR)).alias("year"),
         key_text(F.col("state")).alias("state"),
-        measures.alias("m"))
+        measured.alias("m"))
     rows = rows.select(*keys, "m.measure", "m.value").where(
         F.col("value").isNotNull() & ~F.isnan("value"))
     cells = rows.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("cell_n"))
     scopes = F.explode(F.array(
         F.struct(F.lit(0).alias("any_state"), F.col("state").alias("in_state")),
-        F.struct(F.lit(1), F.lit(""))))
+        F.struct(F.lit(1).alias("any_state"), F.lit("").alias("in_state"))))
     grains = cells.select("*", scopes.alias("scope")).select(
         "make", "model", "year", "scope.any_state", F.col("scope.in_state").alias("state"),
         "measure", "value", "cell_n")

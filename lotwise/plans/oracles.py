@@ -481,7 +481,7 @@ NOTES = joined(
 FACTORS = joined(
     f"'Mileage=' || {whole('odometer')} || ' mi'",
     "'Vehicle age=' || greatest(0, 2016 - year) || ' yr'",
-    "'Condition=' || format('{:.0f}', greatest(0e0, least(100e0, round_even((condition - 1) / 48 * 100, 0)))) || '/100'",
+    "CASE WHEN condition IS NOT NULL THEN 'Condition=' || format('{:.0f}', greatest(0e0, least(100e0, round_even((condition - 1) / 48 * 100, 0)))) || '/100' END",
     "'Days-to-sell band=' || days_band",
     f"'Market value (MMR)=$' || {whole('mmr')}",
     f"'Price vs market=' || CASE WHEN starts_with({pct('delta')}, '-') THEN '' ELSE '+' END || {pct('delta')}")

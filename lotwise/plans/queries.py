@@ -360,7 +360,8 @@ def condition_scale(spark, d):
 def scenario_grid(spark, d):
     out = ev.evaluate(scored_listings(spark, d), SCENARIOS)
     return out.groupBy("scenario", "recommendation", "days_to_sell_band", "risk_level").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("expected_gross_profit"), 1).alias("profit"),
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("expected_gross_profit").cast("decimal(18,2)")), 1)
+        .cast("double").alias("profit"),
         F.max("roi").alias("best_roi"), F.min("max_purchase_price").alias("lowest_ceiling"))
 
 

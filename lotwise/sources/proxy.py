@@ -60,7 +60,7 @@ def days_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg((40.0 + 3.5 * F.max(number)).alias("days")))
 
 
-def listings(sold: DataFrame) -> DataFrame:
+def listings(sold: DataFrame, *keep: str) -> DataFrame:
     """Candidate listings of every sale; some keys are changed to reach every fallback."""
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
     return sold.select(
@@ -71,6 +71,7 @@ def listings(sold: DataFrame) -> DataFrame:
         F.col("mileage").alias("odometer"), "condition", "body", "transmission", "state", "color",
         F.when(line == 3, F.col("mmr")).alias("mmr"),
         F.when(line > 2, F.col("price") * (0.7 + 0.05 * line)).alias("listing_price"),
+        *keep,
     )
 
 
@@ -153,8 +154,7 @@ def raw_recent(sold: DataFrame) -> DataFrame:
 def raw_listings(sold: DataFrame) -> DataFrame:
     """Listings as text with every kind of invalid row."""
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
-    base = listings(sold)
-    return base.select(
+    return listings(sold, "price").select(
         *ROW_ID,
         F.when(key % 61 == 0, " ").otherwise(F.col("make")).alias("make"),
         F.when(key % 67 == 0, F.lit(None)).otherwise(F.col("model")).alias("model"),
@@ -166,8 +166,9 @@ def raw_listings(sold: DataFrame) -> DataFrame:
         "body",
         F.when(line == 2, F.lit(None)).otherwise(F.col("state")).alias("state"),
         F.when(line == 3, F.when(key % 2 == 0, "$15,000").otherwise("15000")).alias("mmr"),
-        F.when(line > 2, _money(F.col("price")).try_cast("string")).alias("listing_price"),
-    ).withColumn("listing_price", F.replace("listing_price", F.lit(","), F.lit("")))
+        F.when(line > 2, F.replace(_money(F.col("price")), F.lit(","), F.lit("")))
+        .alias("listing_price"),
+    )
 
 
 def days_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def main() -> None:
             df = fn(spark, sf_dir)
             problem = compare(df, con, sqls[name]) if name in sqls else f"rows {df.count()} (no oracle)"
         except Exception as e:  # report and go on with the other queries
-            problem = f"{type(e).__name__}: {str(e)[:1500]}"
+            problem = f"{type(e).__name__}: {str(e)[:400]}"
         if problem and "no oracle" not in problem:
             bad += 1
         print(f"{'ok  ' if not problem else '    '}{name} {time.time() - start:.1f}s {problem or ''}",
