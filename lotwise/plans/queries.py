@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 # Boosting rounds / trees of the registered model queries. The library defaults are the
 # reference's 300, 200 and 300; these keep a query within seconds on one machine.
-QUERY_ROUNDS = (20, 20, 10)
+QUERY_ROUNDS = (10, 20, 5)
 
 SCENARIOS = [
     Assumptions(),
