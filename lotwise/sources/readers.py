@@ -36,7 +36,10 @@ def read_text_csv(spark: SparkSession, path: str, *, nrows: int | None = None,
                     F.monotonically_increasing_id().alias("src_pos")))
     if skip_long_rows:
         commas = F.size(F.split(F.regexp_replace(CORRUPT, _QUOTED, ""), ","))
-        rows = rows.where(F.col(CORRUPT).isNull() | (commas <= len(names)))
+        # The length test is always true: it reads a data column too, since Spark refuses
+        # to prune a CSV scan (for a count, say) to the corrupt record alone.
+        rows = rows.where((F.col(CORRUPT).isNull() | (commas <= len(names)))
+                          & (F.length(F.coalesce(names[0], F.lit(""))) >= 0))
     rows = rows.select(*[null_if_token(F.col(n)).alias(n) for n in names], *ORDER)
     return rows.limit(nrows) if nrows is not None else rows
 

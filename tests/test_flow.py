@@ -51,7 +51,7 @@ def test_sample_listings(spark, tmp_path):
     assert sorted(rows) == [2, 3, 4, 5]
     assert rows[2]["recommendation"] == "Buy"
     assert rows[5]["recommendation"] == "Pass"  # make-level match is too uncertain
-    assert batch.summary(results, errors).first().asDict() == {"evaluated": 4, "errors": 2, "buy": 2}
+    assert batch.summary(results, errors).first().asDict() == {"evaluated": 4, "errors": 2, "buy": 3}
     profits = [r["expected_gross_profit"] for r in ranking.rank_results(results, "profit").collect()]
     assert profits == sorted(profits, reverse=True)
     assert ranking.rank_results(results, "anything").first()["row"] == \
@@ -141,6 +141,7 @@ def test_read_sales_csv(spark, tmp_path):
         ("rio", "unknown", "unknown", None, 9100.0), ("sorento", "automatic", "white", 45.0, 21500.0)]
     assert rows[1]["mileage"] == 16639.0 and rows[1]["year"] == 2014
     assert readers.read_text_csv(spark, str(path), nrows=1).count() == 1
+    assert readers.read_text_csv(spark, str(path)).count() == 5
 
 
 def test_blend_files(spark, tmp_path):
