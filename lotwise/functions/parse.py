@@ -16,13 +16,16 @@ NULL_TOKENS = [
 ]
 # --- end of fixed values ----------------------------------------------------
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every white-space character of Unicode, and the ASCII separators.
+WHITE_SPACE = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind (``trim`` knows only spaces)."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def norm_text(c: Column) -> Column:

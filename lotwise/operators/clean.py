@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.parse import dirty_number, norm_text, or_unknown, plain_number, strip_transmission
 
 
+def parsed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed exactly once per row.
+
+    Filters on a parsed column would otherwise be pushed below the projection and repeat
+    its parsing for each comparison; they do not pass a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def parse_sales(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed sales from raw text columns; ``keep`` carries extra columns through."""
-    return raw.select(
+    return parsed_once(raw.select(
         dirty_number(F.col("sellingprice")).alias("price"),
         dirty_number(F.col("mmr")).alias("mmr"),
         plain_number(F.col("year")).alias("year"),
@@ -22,7 +31,7 @@ def parse_sales(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *[norm_text(F.col(c)).alias(c)
           for c in ("make", "model", "body", "transmission", "state", "color")],
         *keep,
-    )
+    ))
 
 
 def within_bounds(df: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
@@ -35,14 +44,11 @@ def within_bounds(df: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the first by ``order``.
 
-    An aggregate rather than a window, so that copies are combined before the shuffle
-    and a large group of copies never meets in one task.
+    Spark limits each key to its first row before the shuffle as well as after it, so a
+    large group of copies never meets in one task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
-    fields = {c: F.col(f"_first.{c}") for c in rest}
-    return first.select(*[fields[c].alias(c) if c in fields else F.col(c) for c in df.columns])
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn"))
 
 
 def clean_sales(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -80,7 +86,7 @@ def from_recent(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def _common(raw, price, year, mileage, make, model, state, condition, channel, source, keep):
     grade = plain_number(F.col(condition)) if condition else F.lit(None).cast("double")
-    return raw.select(
+    return parsed_once(raw.select(
         dirty_number(F.col(price)).alias("price"),
         plain_number(F.col(year)).alias("year"),
         dirty_number(F.col(mileage)).alias("mileage"),
@@ -91,7 +97,7 @@ def _common(raw, price, year, mileage, make, model, state, condition, channel, s
         F.lit(channel).alias("source_channel"),
         F.lit(source).alias("source"),
         *keep,
-    )
+    ))
 
 
 def blend(retail: DataFrame, auction: DataFrame, recent: DataFrame) -> DataFrame:
