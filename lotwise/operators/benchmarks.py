@@ -34,14 +34,16 @@ def market_benchmark(df: DataFrame, value_col: str | None = None) -> DataFrame:
     # Each cell counts at four grains; blanks stand for the keys a coarser grain drops.
     blank = {"make": F.lit(""), "model": F.lit(""), "year": F.lit(NO_YEAR)}
     grains = cells.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("level"), *[
+        F.struct(F.lit(i).alias("grain"), *[
             (F.col(k) if k in kept else blank[k]).alias(k) for k in keys])
-        for name, kept in LEVELS.items()])).alias("g"), "value", "cell_n")
-    medians = quantiles_of_cells(grains.select("g.*", "value", "cell_n"), ["level", *keys],
+        for i, kept in enumerate(LEVELS.values())])).alias("g"), "value", "cell_n")
+    medians = quantiles_of_cells(grains.select("g.*", "value", "cell_n"), ["grain", *keys],
                                  "value", "cell_n", [0.5])
-    at_grain = [F.when(F.col("level").isin([n for n, kept in LEVELS.items() if k in kept]),
-                       F.col(k)).alias(k) for k in keys]
-    return medians.select("level", *at_grain, F.col("q0").alias("value"), "n")
+    at_grain = [F.when(F.col("grain").isin([i for i, kept in enumerate(LEVELS.values())
+                                            if k in kept]), F.col(k)).alias(k) for k in keys]
+    names = F.array(*[F.lit(name) for name in LEVELS])
+    return medians.select(F.get(names, F.col("grain")).alias("level"), *at_grain,
+                          F.col("q0").alias("value"), "n")
 
 
 def global_value(bench: DataFrame) -> Column:

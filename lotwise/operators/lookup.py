@@ -39,10 +39,15 @@ def keyed_lookup(rows: DataFrame, keys: dict[str, Column],
     return joined.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in added])
 
 
-def attach(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
-    """Left join of ``rows`` with ``table`` (one row per key; columns on, _rows, _found)."""
+def attach(rows: DataFrame, table: DataFrame, on: list[str],
+           table_rows: int | None = None) -> DataFrame:
+    """Left join of ``rows`` with ``table`` (one row per key; columns on, _rows, _found).
+
+    ``_rows`` is the number of rows expected per key, ``table_rows`` the size of the
+    table where the caller has already counted it.
+    """
     slim = table.select(*on, "_found")
-    if table.count() <= BROADCAST_ROWS:
+    if (table.count() if table_rows is None else table_rows) <= BROADCAST_ROWS:
         return rows.join(F.broadcast(slim), on, "left")
 
     hot = (table.where(F.col("_rows") >= HOT_ROWS)

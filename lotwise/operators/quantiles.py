@@ -42,17 +42,20 @@ def quantiles_of_cells(cells: DataFrame, keys: Sequence[str], value: str, count:
     # One exchange by (keys, bucket) serves the histogram, the join and the ranking. The
     # filter is what the join would infer for one branch only; stated here, both branches
     # of the plan stay equal and Spark runs the exchange once.
-    bucket = [*keys, "_b"]
+    # The leading hashes decide nearly every comparison of the sorts.
+    bucket = ["_hb", *keys, "_b"]
     cells = (cells.select(*keys, value, F.col(count).alias("_n"),
                           value_bucket(F.col(value)).alias("_b"))
+             .withColumn("_hb", F.xxhash64(*keys, "_b"))
              .where(" AND ".join(f"{c} IS NOT NULL" for c in bucket))
              .repartition(*[F.col(c) for c in bucket])
              .groupBy(*bucket, value).agg(F.sum("_n").alias("_n")))
 
     # Rank range of each bucket inside its group.
-    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    group = Window.partitionBy("_h", *keys)
     upto = F.sum("_bn").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
     ranges = (cells.groupBy(*bucket).agg(F.sum("_n").alias("_bn"))
+              .withColumn("_h", F.xxhash64(*keys) if keys else F.lit(0))
               .select(*bucket, F.sum("_bn").over(group).alias("_total"),
                       (upto - F.col("_bn")).alias("_first"), upto.alias("_next")))
     spots = [(F.floor(p * (F.col("_total") - 1)), F.ceil(p * (F.col("_total") - 1)))

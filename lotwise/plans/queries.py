@@ -23,8 +23,8 @@ from .train import Artifacts, load_artifacts, score, train
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Boosting rounds / trees of the registered model queries. The library defaults are the
-# reference's 300, 200 and 300; these keep a query within seconds on one machine.
+# Boosting rounds / trees of the registered model queries, over all rows. The library
+# defaults are 300, 200 and 300; fewer keep a query within a minute on one machine.
 QUERY_ROUNDS = (10, 20, 5)
 
 SCENARIOS = [

@@ -154,9 +154,10 @@ def test_features(spark):
         features.assert_no_leakage(["make", "price"])
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_encoder(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(features, "ENCODER_BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_rows, hot_rows", [(500_000, 9), (0, 9), (0, 2)])
+def test_encoder(spark, monkeypatch, broadcast_rows, hot_rows):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(lookup, "HOT_ROWS", hot_rows)
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "make string")
     known = features.build_features(df)
     encoder = materialize(features.fit_encoder(known))
