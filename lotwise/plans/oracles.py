@@ -55,7 +55,8 @@ LISTINGS = """listings AS (
     CASE WHEN l_orderkey % 5 = 0 THEN 1985 WHEN l_orderkey % 11 = 0 THEN 2017 ELSE year END AS year,
     mileage AS odometer, condition, body, transmission, state, color,
     CASE WHEN l_linenumber = 3 THEN mmr END AS mmr,
-    CASE WHEN l_linenumber > 2 THEN price * (0.7e0 + 0.05e0 * l_linenumber) END AS listing_price
+    CASE WHEN l_linenumber > 2 THEN price * (0.7e0 + 0.05e0 * l_linenumber) END AS listing_price,
+    price
   FROM sales)"""
 
 BENCH = """bench AS (
@@ -602,13 +603,12 @@ RAW_LISTINGS = f"""raw_list AS (
       ELSE year || '.0' END AS year,
     CASE WHEN l_orderkey % 79 = 0 THEN '-5' WHEN l_orderkey % 83 = 0 THEN 'inf'
       ELSE CAST(CAST(odometer AS INT) AS VARCHAR) END AS odometer,
-    CAST(CAST(condition AS INT) AS VARCHAR) AS condition, body, transmission0 AS transmission,
+    CAST(CAST(condition AS INT) AS VARCHAR) AS condition, body, '' AS transmission,
     CASE WHEN l_linenumber = 2 THEN NULL ELSE state END AS state,
     CASE WHEN l_linenumber = 3 THEN CASE WHEN l_orderkey % 2 = 0 THEN '$15,000' ELSE '15000' END END AS mmr,
     CASE WHEN l_linenumber > 2 THEN {rnd("price", 2)} END AS listing_price,
-    1 + row_number() OVER (ORDER BY {ID}) AS row
-  FROM (SELECT l.*, s.price, '' AS transmission0 FROM listings l JOIN sales s
-    USING (l_orderkey, l_linenumber, l_partkey, l_suppkey))),
+    1 + row_number() OVER (ORDER BY {ID}, CAST(CAST(odometer AS INT) AS VARCHAR)) AS row
+  FROM listings),
 checked AS (
   SELECT *, try_cast(year AS DOUBLE) AS y, CASE WHEN odometer = 'inf' THEN NULL
       ELSE try_cast(odometer AS DOUBLE) END AS o, try_cast(condition AS DOUBLE) AS c

@@ -368,7 +368,7 @@ def scenario_grid(spark, d):
 # --- batch triage -----------------------------------------------------------------
 def _raw_listings(spark, d) -> DataFrame:
     raw = proxy.raw_listings(proxy.sales(spark, d))
-    return ranking.with_global_rank(raw, ROW_ID, "row", start=2)
+    return ranking.with_global_rank(raw, [*ROW_ID, "odometer"], "row", start=2)
 
 
 @query
