@@ -68,7 +68,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataF
     marks = (labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))
              .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    return texts(docs).join(bounded(marks, "doc_id", most), "doc_id")
+    # most * 16 bytes, so a broadcast of known size
+    return texts(docs).join(F.broadcast(bounded(marks, "doc_id", most)), "doc_id")
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
