@@ -3,16 +3,32 @@
 from __future__ import annotations
 
 from .contamination import op6_contamination
+from .jaccard import op10_jaccard
+from .language import op9_language
 from .mixing import op5_mixing
-from .oracles import OP6
+from .neighbours import op1_neighbours
+from .oracles import OP4, OP6, OP10
+from .pii import op7_pii
+from .quality import op3_quality
+from .repeats import op4_repeats
 from .secrets import op8_secrets
+from .toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
+    "op4_repeats": op4_repeats,
     "op5_mixing": op5_mixing,
     "op6_contamination": op6_contamination,
+    "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
+    "op9_language": op9_language,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLES = {
+    "op4_repeats": OP4,
     "op6_contamination": OP6,
+    "op10_jaccard": OP10,
 }
