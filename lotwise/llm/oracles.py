@@ -12,11 +12,11 @@ b AS (
 win AS (
   SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, list_slice(w, i, i + 12) AS t
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
-at AS (
+placed AS (
   SELECT doc_id, i, l, list_slice(w, i, i + l - 1) AS t
   FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i
         FROM d, (SELECT DISTINCT len(t) AS l FROM win) WHERE len(w) >= l)),
-occ AS (SELECT doc_id, i, l, item_id FROM at JOIN win USING (t)),
+occ AS (SELECT doc_id, i, l, item_id FROM placed JOIN win USING (t)),
 hit AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT doc_id, i, l FROM occ)) GROUP BY doc_id),
@@ -55,10 +55,10 @@ sh AS (
   SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-both AS (
+pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
 link AS (
-  SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
 reach AS (
   SELECT doc_id AS a, doc_id AS r FROM d UNION SELECT l.a, r.r FROM link l JOIN reach r ON r.a = l.b)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(reach.r) AS component_id
