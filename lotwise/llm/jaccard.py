@@ -25,7 +25,7 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100  # link when DENOMINATOR * common >= NUMERATOR * union
 PACK_BYTES = 16 << 20  # text per bucket of packed shingles
 SMALL = 64  # documents of a region that is joined directly
-PIVOTS = 4  # per region in the first round, four times as many in each further one
+PIVOTS = 16  # per region in the first round, eight times as many in each further one
 FREQUENT = 100_000  # shingles whose frequency orders the pivots, at most
 ONE = np.uint64(1)
 
@@ -180,7 +180,7 @@ def links(sets: DataFrame) -> DataFrame:
         direct = few.join(other, "s").where((F.col("x") > F.col("p")) & (F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np"))).select("x", "p")
         # large ones: a few pivots, one from each hash class
         many = sized.where(F.col("docs") > SMALL).drop("docs")
-        chosen = many.groupBy("s", F.pmod(F.xxhash64("x", F.lit(turn)), F.lit(PIVOTS * 4 ** (turn - 1))).alias("k")).agg(
+        chosen = many.groupBy("s", F.pmod(F.xxhash64("x", F.lit(turn)), F.lit(PIVOTS * 8 ** (turn - 1))).alias("k")).agg(
             F.min_by(F.struct("x", "n", "label"), "x").alias("v"))
         chosen = stored(chosen.select("s", F.col("v.x").alias("p"), F.col("v.n").alias("np"), F.col("v.label").alias("lp")))
         ranged = many.join(chosen, "s").where((F.col("x") != F.col("p")))
