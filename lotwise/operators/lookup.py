@@ -11,10 +11,9 @@ from ..session import materialize
 
 # A resolved table up to this many rows is broadcast; its rows are counted first.
 BROADCAST_ROWS = 500_000
-# Beyond that, keys with at least HOT_ROWS rows are joined by broadcast (at most
-# HOT_KEYS of them, the most frequent first) and all other keys by shuffle.
-HOT_ROWS = 5_000_000
-HOT_KEYS = 1_000
+# Beyond that, keys with at least one row in HOT_SHARE are joined by broadcast, and all
+# other keys by shuffle. By arithmetic there are at most HOT_SHARE such keys.
+HOT_SHARE = 1_000
 HOT_SALTS = 256
 
 
@@ -50,8 +49,8 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str],
     if (table.count() if table_rows is None else table_rows) <= BROADCAST_ROWS:
         return rows.join(F.broadcast(slim), on, "left")
 
-    hot = (table.where(F.col("_rows") >= HOT_ROWS)
-           .orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
+    total = table.agg(F.sum("_rows").alias("n")).scalar()
+    hot = (table.where(F.col("_rows") * HOT_SHARE >= total)
            .select(*on, F.col("_found").alias("_hot")))
     salt = F.when(F.col("_hot").isNull(), 0).otherwise(
         1 + F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_SALTS)))

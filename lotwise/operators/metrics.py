@@ -104,9 +104,11 @@ def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 
     Rows are first counted per distinct score, then per score bucket. Only the bucket
     totals (a fixed number of rows) meet in one task; exact running counts are taken
-    inside each bucket in parallel.
+    inside each bucket in parallel. A NULL score, or one outside [0, 1], is an error.
     """
-    cells = df.groupBy(F.col(score).alias("score")).agg(
+    inside = F.coalesce(F.col(score).between(0, 1), F.lit(False))
+    checked = F.when(inside, F.col(score)).otherwise(F.raise_error(F.lit("score is NULL or outside [0, 1]")).cast("double"))
+    cells = df.groupBy(checked.alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("tp"),
         F.sum(1 - F.col(label).cast("long")).alias("fp"))
     cells = cells.withColumn("_b", F.floor(F.col("score") * SCORE_BUCKETS))

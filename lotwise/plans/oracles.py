@@ -73,7 +73,7 @@ FEED = """feed AS (
   SELECT make, model, year, state,
     CASE WHEN l_linenumber = 4 THEN 0e0 WHEN l_linenumber = 5 THEN NULL ELSE price * 1.12e0 END AS price,
     CASE WHEN l_linenumber = 2 THEN -1e0 ELSE mileage / 4000 END AS dom
-  FROM sales WHERE year >= 1998),
+  FROM sales),
 feed_stats AS (
   SELECT make, model, year, state, grouping(state) AS any_state,
     median(price) FILTER (WHERE price > 0) AS live_value,
@@ -670,6 +670,8 @@ STATES = """states AS (
   GROUP BY state HAVING count(*) >= 30)"""
 oracle("state_mae", SALES, PREDICTED, STATES, select=f"""
 SELECT state, {rnd("mae", 4)} AS mae, n FROM (SELECT * FROM states ORDER BY mae DESC, state LIMIT 5)""")
+oracle("state_mae_all", SALES, PREDICTED, STATES, select=f"""
+SELECT state, {rnd("mae", 4)} AS mae, n FROM states""")
 oracle("state_gap", SALES, PREDICTED, STATES, select=f"""
 SELECT (SELECT state FROM states ORDER BY mae, state LIMIT 1) AS best_state,
   (SELECT state FROM states ORDER BY mae DESC, state DESC LIMIT 1) AS worst_state,

@@ -447,6 +447,12 @@ def state_mae(spark, d):
     return out.limit(config.WORST_STATES).select("state", r4("mae").alias("mae"), "n")
 
 
+@query
+def state_mae_all(spark, d):
+    out = metrics.state_mae(regression_frame(spark, d), "price", "pred")
+    return out.select("state", r4("mae").alias("mae"), "n")
+
+
 @query
 def state_gap(spark, d):
     out = metrics.state_gap(metrics.state_mae(regression_frame(spark, d), "price", "pred"))

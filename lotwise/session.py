@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,13 +27,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a temporary one only where it is unset."""
+    """Folder named by spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder on a single machine and an error on a cluster, whose
+    executors could not see such a folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     context_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if context_dir.isDefined():
         return context_dir.get()
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lotwise-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 

@@ -90,7 +90,7 @@ def with_surrogate_scores(resolved: DataFrame) -> DataFrame:
 def live_listings(sold: DataFrame) -> DataFrame:
     """Comparable live listings: prices 12 % up, some missing or zero, days from quantity."""
     line = F.col("l_linenumber")
-    return sold.where(F.col("year") >= 1998).select(
+    return sold.select(
         "make", "model", "year", "state",
         F.when(line == 4, 0.0).when(line == 5, F.lit(None)).otherwise(F.col("price") * 1.12)
         .alias("price"),

@@ -54,10 +54,10 @@ FOUND = [(20500.0, "make/model/year", 2), (20500.0, "make/model", 2), (15000.0,
          (20000.0, "global", 3), (20000.0, "global", 3)]
 
 
-@pytest.mark.parametrize("broadcast_rows, hot_rows", [(500_000, 10**9), (0, 10**9), (0, 3)])
-def test_lookup_levels_on_every_join_path(spark, monkeypatch, broadcast_rows, hot_rows):
+@pytest.mark.parametrize("broadcast_rows, hot_share", [(500_000, 1), (0, 1), (0, 10)])
+def test_lookup_levels_on_every_join_path(spark, monkeypatch, broadcast_rows, hot_share):
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(lookup, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(lookup, "HOT_SHARE", hot_share)
     bench = _bench(spark)
     rows = [(i, *ASKED[i % 5]) for i in range(20)]
     rows += [(100 + i, *ASKED[0]) for i in range(40)]  # a hot key
@@ -154,10 +154,10 @@ def test_features(spark):
         features.assert_no_leakage(["make", "price"])
 
 
-@pytest.mark.parametrize("broadcast_rows, hot_rows", [(500_000, 9), (0, 9), (0, 2)])
-def test_encoder(spark, monkeypatch, broadcast_rows, hot_rows):
+@pytest.mark.parametrize("broadcast_rows, hot_share", [(500_000, 1), (0, 1), (0, 2)])
+def test_encoder(spark, monkeypatch, broadcast_rows, hot_share):
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(lookup, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(lookup, "HOT_SHARE", hot_share)
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "make string")
     known = features.build_features(df)
     encoder = materialize(features.fit_encoder(known))
@@ -255,3 +255,10 @@ def test_options(spark):
     assert row["makes"] == ["bmw", "kia"] and row["bodies"] == ["suv"] and row["colors"] == ["red"]
     assert (row["year_min"], row["year_max"]) == (2010, 2015)
     assert row["transmissions"] == ["automatic", "manual"]
+
+
+@pytest.mark.parametrize("score", [None, -0.1, 1.5, float("nan")])
+def test_scores_outside_the_contract_are_an_error(spark, score):
+    df = spark.createDataFrame([(1, 0.5), (0, score)], "label int, score double")
+    with pytest.raises(Exception, match="outside"):
+        metrics.score_curve(df, "label", "score").collect()
