@@ -25,7 +25,7 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100  # link when DENOMINATOR * common >= NUMERATOR * union
 PACK_BYTES = 16 << 20  # text per bucket of packed shingles
 SMALL = 64  # documents of a region that is joined directly
-PIVOTS = 16  # per region in the first round, eight times as many in each further one
+PIVOTS = 16  # per region in the first round, sixteen times as many in each further one
 FREQUENT = 100_000  # shingles whose frequency orders the pivots, at most
 ONE = np.uint64(1)
 
@@ -163,53 +163,68 @@ def _postings(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n", "hashes").mapInArrow(enter, "s long, x long, n long")
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """Edges a, b whose components are those of all linked pairs. sets: node, n, hashes (sorted 64-bit numbers)."""
-    active = _postings(sets)
-    crowd = active.groupBy("s").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > 1)
-    active = stored(active.join(crowd, "s").select("s", "x", "n").withColumn("label", F.col("x")))
-    edges, done, turn = None, None, 0
+def _merged(names: DataFrame, found: DataFrame) -> DataFrame:
+    """names (node, label) after the links a, b: labels that a link joins become the smallest of them."""
+    ends = found.join(names.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(
+        names.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
+    joined = components(ends.where(F.col("la") != F.col("lb")).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    to = joined.select(F.col("id").alias("label"), F.col("label").alias("least"))
+    return stored(names.join(to, "label", "left").select("node", F.coalesce("least", "label").alias("label")))
+
+
+def linked(sets: DataFrame) -> DataFrame:
+    """node, label: the component of each node under all links. sets: node, n, hashes (sorted 64-bit numbers).
+
+    The first round's pivots come from all documents of a region, later ones from those outside its largest component,
+    so a region ends when each of these has been a pivot.
+    """
+    entered = _postings(sets)
+    crowd = entered.groupBy("s").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > 1)
+    names = sets.select("node", F.col("node").alias("label"))
+    active = stored(entered.join(crowd, "s").select("s", "x", "n", "docs", F.col("x").alias("label"), F.lit(True).alias("ask")))
+    done, classes_ = None, PIVOTS
+    near = lambda a, b: DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
     while not active.isEmpty():
-        turn += 1
-        near = lambda a, b: DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
-        small = active.groupBy("s").agg(F.count(F.lit(1)).alias("docs"))
-        sized = active.join(small, "s")
-        few = sized.where(F.col("docs") <= SMALL)
+        few, many = active.where(F.col("docs") <= SMALL), active.where(F.col("docs") > SMALL)
         # small regions: every pair of at most SMALL documents
-        other = few.select("s", F.col("x").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"))
-        direct = few.join(other, "s").where((F.col("x") > F.col("p")) & (F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np"))).select("x", "p")
+        other = few.where("ask").select("s", F.col("x").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"), F.col("ask").alias("again"))
+        direct = few.join(other, "s").where((~F.col("ask") | (F.col("x") > F.col("p"))) & (F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np")))
         # large ones: a few pivots, one from each hash class
-        many = sized.where(F.col("docs") > SMALL).drop("docs")
-        chosen = many.groupBy("s", F.pmod(F.xxhash64("x", F.lit(turn)), F.lit(PIVOTS * 8 ** (turn - 1))).alias("k")).agg(
+        first = many.where("ask").groupBy("s", F.pmod(F.xxhash64("x", F.lit(classes_)), F.lit(classes_)).alias("k")).agg(
             F.min_by(F.struct("x", "n", "label"), "x").alias("v"))
-        chosen = stored(chosen.select("s", F.col("v.x").alias("p"), F.col("v.n").alias("np"), F.col("v.label").alias("lp")))
-        ranged = many.join(chosen, "s").where((F.col("x") != F.col("p")))
-        asked = ranged.where((F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np"))).select("x", "p")
-        pairs = direct.unionByName(asked).distinct()
+        chosen = stored(first.select("s", F.col("v.x").alias("p"), F.col("v.n").alias("np"), F.col("v.label").alias("lp")))
+        asked = many.join(chosen, "s").where((F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np")))
+        ordered = [F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")]  # a pair is measured once
+        pairs = direct.select(*ordered).unionByName(asked.select(*ordered)).distinct()
         if done is not None:
-            pairs = pairs.join(done, ["x", "p"], "left_anti")
-        measured = stored(_distances(stored(pairs), sets))
-        done = measured if done is None else stored(done.unionByName(measured))
+            pairs = pairs.join(done.select("x", "p"), ["x", "p"], "left_anti")
+        measured = stored(_distances(pairs, sets))
+        done = measured if done is None else done.unionByName(measured)
         found = measured.where("link").select(F.col("x").alias("a"), F.col("p").alias("b"))
-        edges = found if edges is None else stored(edges.unionByName(found))
+        if not found.isEmpty():
+            names = _merged(names, found)
         if chosen.isEmpty():
             break
-        label = components(edges)
-        named = many.drop("label").join(label, many["x"] == label["id"], "left").select("s", "x", "n", F.coalesce("label", "x").alias("label"))
-        own = named.join(chosen.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti")
-        pivots = chosen.join(label, chosen["p"] == label["id"], "left").select("s", "p", "np", F.coalesce("label", "p").alias("lp"))
-        to = own.join(pivots, "s").join(done, ["x", "p"], "left")
-        inside = F.col("label") == F.col("lp")
+        label = names.withColumnRenamed("node", "x")
+        own = many.select("s", "x", "n").join(chosen.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti").join(label, "x")
+        # the largest component of each region; only its pivots can send members away
+        shares = own.groupBy("s", "label").agg(F.count(F.lit(1)).alias("docs"))
+        largest = shares.groupBy("s").agg(F.max(F.struct("docs", "label"))["label"].alias("main"), F.sum("docs").alias("docs"),
+                                          F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1)
+        own = stored(own.join(largest, "s").select("s", "x", "n", "label", "docs", (F.col("label") != F.col("main")).alias("ask")))
+        pivots = chosen.select("s", F.col("p").alias("x"), "np").join(label, "x").select("s", F.col("x").alias("p"), "np", F.col("label").alias("lp"))
+        mains = own.where(~F.col("ask")).groupBy("s").agg(F.min("label").alias("lp"))
+        to = own.join(pivots.join(mains, ["s", "lp"], "left_semi"), "s")
+        both = to.withColumn("hi", F.greatest("x", "p")).withColumn("lo", F.least("x", "p")).join(
+            done.select(F.col("x").alias("hi"), F.col("p").alias("lo"), "d"), ["hi", "lo"], "left")
         # where a distance wasn't measured, sizes still give its least value
-        least = F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np"))
-        reach = to.groupBy("s", "p").agg(F.min(F.when(~inside, least)).alias("reach"))
+        reach = both.where("ask").groupBy("s", "p").agg(F.min(F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np"))).alias("reach"))
         radius = 1 - NUMERATOR / DENOMINATOR
-        out = to.join(reach, ["s", "p"]).withColumn("away", F.coalesce(
-            inside & F.col("d").isNotNull() & (F.col("reach").isNull() | (F.col("d") < F.col("reach") - radius - 1e-9)), F.lit(False)))
-        stay = out.groupBy("s", "x", "n", "label").agg(F.max("away").alias("away")).where(~F.col("away")).drop("away")
-        mixed = stay.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") != F.col("hi")).select("s")
-        active = stored(stay.join(mixed, "s", "left_semi"))
-    return edges if edges is not None else sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        away = both.where(~F.col("ask") & F.col("d").isNotNull()).join(reach, ["s", "p"]).where(
+            F.col("d") < F.col("reach") - radius - 1e-9).select("s", "x").distinct()
+        active = stored(own.join(away, ["s", "x"], "left_anti"))
+        classes_ *= 16
+    return names
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -239,7 +254,7 @@ def classes(docs: DataFrame) -> DataFrame:
                                              names=["node", "n", "hashes"])
 
     sets = stored(nodes.join(live, "node", "left_semi").mapInArrow(cut, "node long, n long, hashes binary").dropDuplicates(["node"]))
-    label = components(links(sets))
+    label = linked(sets).withColumnRenamed("node", "id")
     grouped = info.join(label, info["node"] == label["id"], "left").select("row_key", "doc_id", "node", F.coalesce("label", "node").alias("label"))
     smallest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(smallest, "label").join(counts.select("node", "n"), "node", "left")
