@@ -121,7 +121,7 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """s, x, n: the regions that each live document enters.
+    """s, x, n, pos: the regions that each live document enters, and the place of the pivot in its order.
 
     Pivots are ordered by frequency in a sample of one document in eight, then by hash. Only shingles that are frequent there
     have a rank, at most FREQUENT of them; any order is right as long as all documents use the same one.
@@ -144,7 +144,7 @@ def _postings(sets: DataFrame) -> DataFrame:
     def enter(batches):
         known, times = sent.value
         for batch in batches:
-            out_s, out_x, out_n = [], [], []
+            out_s, out_x, out_n, out_pos = [], [], [], []
             for node, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = np.frombuffer(blob, np.uint64)
                 take = n - -(-n * NUMERATOR // DENOMINATOR) + 1
@@ -156,11 +156,13 @@ def _postings(sets: DataFrame) -> DataFrame:
                 out_s.append(first)
                 out_x.append(np.full(len(first), node, np.int64))
                 out_n.append(np.full(len(first), n, np.int64))
+                out_pos.append(np.arange(len(first)))
             if out_s:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_s).view(np.int64)), pa.array(np.concatenate(out_x)),
-                                                  pa.array(np.concatenate(out_n))], names=["s", "x", "n"])
+                                                  pa.array(np.concatenate(out_n)), pa.array(np.concatenate(out_pos))],
+                                                 names=["s", "x", "n", "pos"])
 
-    return sets.select("node", "n", "hashes").mapInArrow(enter, "s long, x long, n long")
+    return sets.select("node", "n", "hashes").mapInArrow(enter, "s long, x long, n long, pos long")
 
 
 def _merged(names: DataFrame, found: DataFrame) -> DataFrame:
@@ -181,19 +183,21 @@ def linked(sets: DataFrame) -> DataFrame:
     entered = _postings(sets)
     crowd = entered.groupBy("s").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > 1)
     names = sets.select("node", F.col("node").alias("label"))
-    active = stored(entered.join(crowd, "s").select("s", "x", "n", "docs", F.col("x").alias("label"), F.lit(True).alias("ask")))
+    active = stored(entered.join(crowd, "s").select("s", "x", "n", "pos", "docs", F.col("x").alias("label"), F.lit(True).alias("ask")))
     done, classes_ = None, PIVOTS
-    near = lambda a, b: DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
+    # a linked pair must be able to have all it shares from its first common pivot on; elsewhere it need not meet
+    near = (DENOMINATOR * F.least("n", "np") >= NUMERATOR * F.greatest("n", "np")) & (
+        (NUMERATOR + DENOMINATOR) * F.least(F.col("n") - F.col("pos"), F.col("np") - F.col("ppos")) >= NUMERATOR * (F.col("n") + F.col("np")))
     while not active.isEmpty():
         few, many = active.where(F.col("docs") <= SMALL), active.where(F.col("docs") > SMALL)
         # small regions: every pair of at most SMALL documents
-        other = few.where("ask").select("s", F.col("x").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"), F.col("ask").alias("again"))
-        direct = few.join(other, "s").where((~F.col("ask") | (F.col("x") > F.col("p"))) & (F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np")))
+        other = few.where("ask").select("s", F.col("x").alias("p"), F.col("n").alias("np"), F.col("pos").alias("ppos"), F.col("label").alias("lp"))
+        direct = few.join(other, "s").where((~F.col("ask") | (F.col("x") > F.col("p"))) & (F.col("label") != F.col("lp")) & near)
         # large ones: a few pivots, one from each hash class
         first = many.where("ask").groupBy("s", F.pmod(F.xxhash64("x", F.lit(classes_)), F.lit(classes_)).alias("k")).agg(
-            F.min_by(F.struct("x", "n", "label"), "x").alias("v"))
-        chosen = stored(first.select("s", F.col("v.x").alias("p"), F.col("v.n").alias("np"), F.col("v.label").alias("lp")))
-        asked = many.join(chosen, "s").where((F.col("label") != F.col("lp")) & near(F.col("n"), F.col("np")))
+            F.min_by(F.struct("x", "n", "pos", "label"), "x").alias("v"))
+        chosen = stored(first.select("s", F.col("v.x").alias("p"), F.col("v.n").alias("np"), F.col("v.pos").alias("ppos"), F.col("v.label").alias("lp")))
+        asked = many.join(chosen, "s").where((F.col("label") != F.col("lp")) & near)
         ordered = [F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")]  # a pair is measured once
         pairs = direct.select(*ordered).unionByName(asked.select(*ordered)).distinct()
         if done is not None:
@@ -206,12 +210,12 @@ def linked(sets: DataFrame) -> DataFrame:
         if chosen.isEmpty():
             break
         label = names.withColumnRenamed("node", "x")
-        own = many.select("s", "x", "n").join(chosen.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti").join(label, "x")
+        own = many.select("s", "x", "n", "pos").join(chosen.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti").join(label, "x")
         # the largest component of each region; only its pivots can send members away
         shares = own.groupBy("s", "label").agg(F.count(F.lit(1)).alias("docs"))
         largest = shares.groupBy("s").agg(F.max(F.struct("docs", "label"))["label"].alias("main"), F.sum("docs").alias("docs"),
                                           F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1)
-        own = stored(own.join(largest, "s").select("s", "x", "n", "label", "docs", (F.col("label") != F.col("main")).alias("ask")))
+        own = stored(own.join(largest, "s").select("s", "x", "n", "pos", "label", "docs", (F.col("label") != F.col("main")).alias("ask")))
         pivots = chosen.select("s", F.col("p").alias("x"), "np").join(label, "x").select("s", F.col("x").alias("p"), "np", F.col("label").alias("lp"))
         mains = own.where(~F.col("ask")).groupBy("s").agg(F.min("label").alias("lp"))
         to = own.join(pivots.join(mains, ["s", "lp"], "left_semi"), "s")
