@@ -362,6 +362,10 @@ SELECT CAST(any_state AS INT) AS any_state, make, model, year, state,
   {rnd("live_value", 4)} AS live_value, {rnd("live_days", 4)} AS live_days, live_n
 FROM feed_stats WHERE live_value IS NOT NULL""")
 
+# --- learned models ---------------------------------------------------------------------
+oracle("model_band_truth", SALES, DTS, select=f"""
+SELECT {ID}, make, {band("days")} AS model_band, 1e0 AS proba_total FROM sales JOIN dts USING (make)""")
+
 # --- features and labels --------------------------------------------------------------
 FEATURES = f"""inputs AS (
   SELECT {ID}, CASE WHEN l_partkey % 31 <> 0 THEN year END AS year,
