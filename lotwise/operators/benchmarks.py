@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.bands import days_to_band
 from ..functions.parse import finite, key_text, norm_text, plain_number
+from ..session import materialize
 from .quantiles import exact_quantiles, quantiles_of_cells
 
 # match level -> keys that must agree, finest first
 LEVELS = {"make/model/year": ["make", "model", "year"], "make/model": ["make", "model"],
           "make": ["make"], "global": []}
+KEYS = ["make", "model", "year"]
 NO_YEAR = -1
+SKETCH_K = 400  # entries that a sketch keeps of each level; decides its rank error
 
 
-def market_benchmark(df: DataFrame, value_col: str | None = None) -> DataFrame:
-    """Medians and counts at four grains: level, make, model, year, value, n.
+def _valued(df: DataFrame, value_col: str | None) -> DataFrame:
+    """make, model, year, value of the rows a benchmark is made from.
 
     ``value_col`` defaults to ``mmr`` where present, else ``price``; for prices, retail
     rows are preferred when there are more than a thousand of them.
@@ -28,22 +33,88 @@ def market_benchmark(df: DataFrame, value_col: str | None = None) -> DataFrame:
         retail = F.col("source_channel") == "retail"
         retail_rows = df.where(retail).agg(F.count(F.lit(1)).alias("n")).scalar()
         base = df.where((retail_rows <= config.RETAIL_MIN_ROWS) | retail)
-    keys = ["make", "model", "year"]
-    cells = (base.select(*keys, F.col(value_col).cast("double").alias("value")).dropna()
-             .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cell_n")))
-    # Each cell counts at four grains; blanks stand for the keys a coarser grain drops.
+    return base.select(*KEYS, F.col(value_col).cast("double").alias("value")).dropna()
+
+
+def _at_grains(rows: DataFrame, *more: str) -> DataFrame:
+    """Each row at four grains; blanks stand for the keys a coarser grain drops."""
     blank = {"make": F.lit(""), "model": F.lit(""), "year": F.lit(NO_YEAR)}
-    grains = cells.select(F.explode(F.array(*[
+    grains = F.explode(F.array(*[
         F.struct(F.lit(i).alias("grain"), *[
-            (F.col(k) if k in kept else blank[k]).alias(k) for k in keys])
-        for i, kept in enumerate(LEVELS.values())])).alias("g"), "value", "cell_n")
-    medians = quantiles_of_cells(grains.select("g.*", "value", "cell_n"), ["grain", *keys],
-                                 "value", "cell_n", [0.5])
+            (F.col(k) if k in kept else blank[k]).alias(k) for k in KEYS])
+        for i, kept in enumerate(LEVELS.values())]))
+    return rows.select(grains.alias("g"), "value", *more).select("g.*", "value", *more)
+
+
+def named_levels(df: DataFrame, *more: str | Column) -> DataFrame:
+    """level, make, model, year in place of the grain number; dropped keys are NULL."""
     at_grain = [F.when(F.col("grain").isin([i for i, kept in enumerate(LEVELS.values())
-                                            if k in kept]), F.col(k)).alias(k) for k in keys]
+                                            if k in kept]), F.col(k)).alias(k) for k in KEYS]
     names = F.array(*[F.lit(name) for name in LEVELS])
-    return medians.select(F.get(names, F.col("grain")).alias("level"), *at_grain,
-                          F.col("q0").alias("value"), "n")
+    return df.select(F.get(names, F.col("grain")).alias("level"), *at_grain, *more)
+
+
+def market_benchmark(df: DataFrame, value_col: str | None = None) -> DataFrame:
+    """Medians and counts at four grains: level, make, model, year, value, n.
+
+    For the rows and ``value_col`` see :func:`_valued`.
+    """
+    cells = _valued(df, value_col).groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("cell_n"))
+    medians = quantiles_of_cells(_at_grains(cells, "cell_n"), ["grain", *KEYS],
+                                 "value", "cell_n", [0.5])
+    return named_levels(medians, F.col("q0").alias("value"), "n")
+
+
+def market_sketches(df: DataFrame, value_col: str | None = None, k: int = SKETCH_K) -> DataFrame:
+    """Quantile sketches at four grains: grain, make, model, year, sketch.
+
+    Rows are looked at once, for the finest grain; each coarser one merges the sketches of the one
+    before. Sketches of other days or batches merge in the same way (:func:`merged_sketches`).
+    """
+    finest = _valued(df, value_col).groupBy(*KEYS).agg(F.kll_sketch_agg_double("value", k).alias("sketch"))
+    level = materialize(finest.select(F.lit(0).alias("grain"), *KEYS, "sketch"))
+    levels = [level]
+    for i, kept in enumerate(LEVELS.values()):
+        if not i:
+            continue
+        blank = {"make": F.lit(""), "model": F.lit(""), "year": F.lit(NO_YEAR)}
+        coarser = level.select(F.lit(i).alias("grain"), *[
+            (F.col(c) if c in kept else blank[c]).alias(c) for c in KEYS], "sketch")
+        level = materialize(merged_sketches(coarser, k))
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def merged_sketches(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One sketch for each grain and key."""
+    return sketches.groupBy("grain", *KEYS).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def sketch_rank_error(k: int = SKETCH_K) -> float:
+    """Share of a group's rows by which a quantile's rank is off at most, in 99 of 100 sketches."""
+    return 2.296 / k**0.9723
+
+
+def approximate_benchmark(sketches: DataFrame, prob: float = 0.5) -> DataFrame:
+    """As :func:`market_benchmark`, from sketches: value has a rank error of about :func:`sketch_rank_error`."""
+    return named_levels(sketches, F.kll_sketch_get_quantile_double("sketch", F.lit(prob)).alias("value"),
+                         F.kll_sketch_get_n_double("sketch").alias("n"))
+
+
+def measured_rank_error(df: DataFrame, sketches: DataFrame, prob: float = 0.5,
+                        value_col: str | None = None) -> DataFrame:
+    """grain, make, model, year, n, error: how far the rank of a sketch's quantile is from ``prob``, by counting rows.
+
+    The quantile covers the ranks from the share of smaller values to that of values no greater.
+    """
+    cells = _valued(df, value_col).groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("cell_n"))
+    asked = sketches.select("grain", *KEYS, F.kll_sketch_get_quantile_double("sketch", F.lit(prob)).alias("quantile"))
+    rows = _at_grains(cells, "cell_n").join(asked, ["grain", *KEYS])
+    below = F.sum(F.when(F.col("value") < F.col("quantile"), F.col("cell_n")).otherwise(0))
+    upto = F.sum(F.when(F.col("value") <= F.col("quantile"), F.col("cell_n")).otherwise(0))
+    n = F.sum("cell_n")
+    return rows.groupBy("grain", *KEYS).agg(
+        n.alias("n"), F.greatest(below / n - prob, prob - upto / n, F.lit(0.0)).alias("error"))
 
 
 def global_value(bench: DataFrame) -> Column:
@@ -105,7 +176,7 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 
 def overall_days(dts: DataFrame) -> DataFrame:
     """One row: the median over the makes."""
-    return exact_quantiles(dts, [], "days", [0.5]).select(F.col("q0").alias("overall_days"))
+    return exact_quantiles(dts, [], "days", [0.5], small=True).select(F.col("q0").alias("overall_days"))
 
 
 def lookup_days(keys: DataFrame, dts: DataFrame) -> DataFrame:

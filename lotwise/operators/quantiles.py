@@ -1,10 +1,10 @@
-"""Exact grouped quantiles that never gather a whole group in one task.
+"""Exact grouped quantiles that never gather a large group in one task.
 
-A plain exact ``median`` keeps every distinct value of a group in one aggregation
-buffer, which fails for the overall median and for any hot make. Here the rank is
-located in two steps instead: a histogram over order-preserving value buckets (map-side
-combined, so a hot group costs each task only its buckets) finds the bucket that holds
-the wanted rank, and only the distinct values of that one bucket are then ordered.
+Groups of few distinct values go through Spark's own ``percentile``, which is combined before the exchange. It keeps every
+distinct value of a group in one buffer, so large groups, such as the overall median or a hot make, are selected by radix instead:
+a histogram over the leading bits of an order-preserving integer, also combined before its exchange, shows which branch holds the
+wanted rank, and only the values of that branch are looked at for the bits that follow. Four levels of 16 bits
+end at a single value.
 """
 
 from __future__ import annotations
@@ -14,74 +14,109 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per unit of ln(1 + |value|): a bucket spans about 0.4 % of the value, so the
-# number of buckets of a group depends on the range of its values, not on its rows.
-BUCKETS_PER_LOG = 256
+from ..session import materialize
 
+PLAIN_CELLS = 100_000  # distinct values of a group that one aggregation buffer may hold
+DIGIT_BITS = 16
+#: Large groups are sent to all tasks up to this many; there are at most (distinct values) / PLAIN_CELLS.
+BROADCAST_GROUPS = 1_000_000
 
-def value_bucket(value: Column) -> Column:
-    """Monotone bucket number of a double."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_LOG)).cast("long")
+# fixed values of the binary double
+MANTISSA_BITS, EXPONENT_BIAS = 52, 1023
+LEAST_NORMAL, LEAST_DOUBLE = 2.0**-1022, 2.0**-1074
+
+
+def order_key(value: Column) -> Column:
+    """The bits of a double as a long that sorts like it: sign and magnitude. Both zeros are 0, NaN comes last."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    power = F.pow(F.lit(2.0), guess)
+    # the logarithm may round to the next whole number
+    exponent = F.when(size < power, guess - 1).when(size / 2 >= power, guess + 1).otherwise(guess)
+    fraction = (size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**MANTISSA_BITS
+    top = F.lit((2 * EXPONENT_BIAS + 1) << MANTISSA_BITS)
+    magnitude = (F.when(F.isnan(value), top + 1)
+                 .when(size == float("inf"), top)
+                 .when(size < LEAST_NORMAL, (size / LEAST_DOUBLE).cast("long"))
+                 .otherwise(F.shiftleft(exponent + EXPONENT_BIAS, MANTISSA_BITS) + fraction.cast("long")))
+    return F.when(~F.isnan(value) & (value < 0), -magnitude).otherwise(magnitude)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    probs: Sequence[float]) -> DataFrame:
+                    probs: Sequence[float], *, small: bool = False) -> DataFrame:
     """Linear-interpolation quantiles of ``value`` per ``keys``: keys, n, q0, q1, ...
 
     Keys must not be NULL; NULL values are ignored. With no keys the result is one row
-    (all NULL if empty).
+    (all NULL if empty). ``small`` says that no group can be large, which saves the look at their sizes.
     """
     cells = (df.where(F.col(value).isNotNull())
              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
-    return quantiles_of_cells(cells, keys, value, "_n", probs)
+    return quantiles_of_cells(cells, keys, value, "_n", probs, small=small)
 
 
 def quantiles_of_cells(cells: DataFrame, keys: Sequence[str], value: str, count: str,
-                       probs: Sequence[float]) -> DataFrame:
+                       probs: Sequence[float], *, small: bool = False) -> DataFrame:
     """As :func:`exact_quantiles`, from rows that carry a ``count`` of their value."""
-    # One exchange by (keys, bucket) serves the histogram, the join and the ranking. The
-    # filter is what the join would infer for one branch only; stated here, both branches
-    # of the plan stay equal and Spark runs the exchange once.
-    # The leading hashes decide nearly every comparison of the sorts.
-    bucket = ["_hb", *keys, "_b"]
-    cells = (cells.select(*keys, value, F.col(count).alias("_n"),
-                          value_bucket(F.col(value)).alias("_b"))
-             .withColumn("_hb", F.xxhash64(*keys, "_b"))
-             .where(" AND ".join(f"{c} IS NOT NULL" for c in bucket))
-             .repartition(*[F.col(c) for c in bucket])
-             .groupBy(*bucket, value).agg(F.sum("_n").alias("_n")))
-
-    # Rank range of each bucket inside its group.
-    group = Window.partitionBy("_h", *keys)
-    upto = F.sum("_bn").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-    ranges = (cells.groupBy(*bucket).agg(F.sum("_n").alias("_bn"))
-              .withColumn("_h", F.xxhash64(*keys) if keys else F.lit(0))
-              .select(*bucket, F.sum("_bn").over(group).alias("_total"),
-                      (upto - F.col("_bn")).alias("_first"), upto.alias("_next")))
-    spots = [(F.floor(p * (F.col("_total") - 1)), F.ceil(p * (F.col("_total") - 1)))
-             for p in probs]
-    holds = F.lit(False)
-    for rank in (r for spot in spots for r in spot):
-        holds = holds | rank.between(F.col("_first"), F.col("_next") - 1)
-    wanted = ranges.where(holds).select(*bucket, "_total", "_first")
-
-    # Exact ranks inside the wanted buckets only.
-    inside = Window.partitionBy(*bucket).orderBy(value)
-    end = F.col("_first") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = cells.join(wanted, bucket).select(
-        *keys, value, "_total", (end - F.col("_n")).alias("_start"), (end - 1).alias("_end"))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(rank.between(F.col("_start"), F.col("_end")), F.col(value)))
-
-    found = ranked.groupBy(*keys).agg(
-        F.max("_total").alias("n"),
-        *[at(low).alias(f"_lo{i}") for i, (low, _) in enumerate(spots)],
-        *[at(high).alias(f"_hi{i}") for i, (_, high) in enumerate(spots)])
+    cells = cells.select(*keys, F.col(value).cast("double").alias("_v"), F.col(count).alias("_n"))
+    if small:
+        return plain_quantiles(cells, keys, probs)
+    cells = materialize(cells)
+    by = list(keys) or ["_all"]
+    if not keys:
+        cells = cells.withColumn("_all", F.lit(0))
+    large = materialize(cells.groupBy(*by).agg(F.count(F.lit(1)).alias("_cells"), F.sum("_n").alias("_total"))
+                        .where(F.col("_cells") > PLAIN_CELLS).drop("_cells"))
+    groups = large.count()
+    if not groups:
+        return plain_quantiles(cells, keys, probs)
+    sent = F.broadcast if groups <= BROADCAST_GROUPS else lambda df: df
+    selected = radix_quantiles(cells.join(sent(large), by), by, probs, sent).select(*keys, "n", *_names(probs))
+    if not keys:
+        return selected
+    rest = cells.join(sent(large.select(*by)), by, "left_anti")
+    return plain_quantiles(rest, keys, probs).unionByName(selected)
+
+
+def _names(probs: Sequence[float]) -> list[str]:
+    return [f"q{i}" for i in range(len(probs))]
+
+
+def plain_quantiles(cells: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles of cells (keys, _v, _n) whose groups are small."""
+    every = F.percentile("_v", [float(p) for p in probs], F.col("_n"))
+    found = cells.groupBy(*keys).agg(F.sum("_n").alias("n"), every.alias("_q"))
+    return found.select(*keys, "n", *[F.col("_q")[i].alias(name) for i, name in enumerate(_names(probs))])
+
+
+def radix_quantiles(cells: DataFrame, keys: Sequence[str], probs: Sequence[float], sent=F.broadcast) -> DataFrame:
+    """Quantiles of cells (keys, _v, _n, _total); ``sent`` marks what is sent to all tasks, one row per group and rank."""
+    cells = materialize(cells.withColumn("_k", order_key(F.col("_v"))))
+    spots = [(F.floor(p * (F.col("_total") - 1)), F.ceil(p * (F.col("_total") - 1))) for p in probs]
+    ranks = F.array_distinct(F.array(*[r for spot in spots for r in spot]))
+    branch = (cells.groupBy(*keys).agg(F.max("_total").alias("_total"))
+              .select(*keys, "_total", F.explode(ranks).alias("_rank"))
+              .withColumns({"_below": F.lit(0).cast("long"), "_up": F.lit(0).cast("long")}))
+    own = [*keys, "_total", "_rank"]
+    held = cells.drop("_total")
+    for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        up = F.shiftright("_k", shift + DIGIT_BITS) if shift + DIGIT_BITS < 64 else F.lit(0).cast("long")
+        rows = held.withColumn("_up", up).join(sent(branch), [*keys, "_up"]).select(
+            *own, "_below", F.shiftright("_k", shift).alias("_digits"), "_n", "_v")
+        counted = rows.groupBy(*own, "_below", "_digits").agg(F.sum("_n").alias("_c"), F.max("_v").alias("_v"))
+        # a group has at most 2 ** DIGIT_BITS rows here
+        upto = F.col("_below") + F.sum("_c").over(
+            Window.partitionBy(*own).orderBy("_digits").rowsBetween(Window.unboundedPreceding, 0))
+        branch = (counted.withColumn("_upto", upto)
+                  .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c")))
+                  .select(*own, (F.col("_upto") - F.col("_c")).alias("_below"), F.col("_digits").alias("_up"),
+                          F.col("_v").alias("_found")))
+    at = [[F.max(F.when(F.col("_rank") == r, F.col("_found"))) for r in spot] for spot in spots]
+    found = branch.groupBy(*keys, "_total").agg(*[v.alias(f"_{side}{i}") for i, both in enumerate(at)
+                                                  for side, v in zip(("lo", "hi"), both)])
     quantiles = []
     for i, p in enumerate(probs):
-        position = p * (F.col("n") - 1)
+        position = p * (F.col("_total") - 1)
         low, high = F.floor(position), F.ceil(position)
         between = (high - position) * F.col(f"_lo{i}") + (position - low) * F.col(f"_hi{i}")
         quantiles.append(F.when(low == high, F.col(f"_lo{i}")).otherwise(between).alias(f"q{i}"))
-    return found.select(*keys, "n", *quantiles)
+    return found.select(*keys, F.col("_total").alias("n"), *quantiles)

@@ -339,6 +339,9 @@ LEVEL_NAME = ("CASE gid WHEN 0 THEN 'make/model/year' WHEN 1 THEN 'make/model' "
 oracle("mmr_rollup", SALES, BENCH, select=f"""
 SELECT {LEVEL_NAME} AS level, make, model, year, {rnd("value", 4)} AS value, n FROM bench""")
 
+oracle("mmr_approximate", SALES, BENCH, select=f"""
+SELECT {LEVEL_NAME} AS level, make, model, year, n, true AS within FROM bench""")
+
 oracle("mmr_retail_proxy", SALES, """picked AS (
   SELECT * FROM sales WHERE l_linenumber <= 3
     OR (SELECT count(*) FROM sales WHERE l_linenumber <= 3) <= 1000)""", select=f"""

@@ -155,6 +155,16 @@ def mmr_rollup(spark, d):
         "level", "make", "model", "year", r4("value").alias("value"), "n")
 
 
+@query
+def mmr_approximate(spark, d):
+    """Medians from merged sketches: whether each group's rank error, counted row by row, is within twice the stated one."""
+    sold = proxy.sales(spark, d)
+    sketches = materialize(benchmarks.market_sketches(sold))
+    measured = benchmarks.measured_rank_error(sold, sketches)
+    within = F.col("error") <= 2 * benchmarks.sketch_rank_error()
+    return benchmarks.named_levels(measured, "n", within.alias("within"))
+
+
 @query
 def mmr_retail_proxy(spark, d):
     sold = proxy.sales(spark, d).drop("mmr").withColumn(

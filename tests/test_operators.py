@@ -31,6 +31,52 @@ def test_quantiles_match_numpy_with_a_hot_key(spark):
         assert [got[k][f"q{i}"] for i in range(5)] == pytest.approx(list(want), rel=1e-12)
 
 
+def test_order_key_sorts_like_doubles(spark):
+    rng = np.random.default_rng(3)
+    bits = rng.integers(-(1 << 63), (1 << 63) - 1, 4000).view(np.float64)
+    edges = [float(2.0**e) for e in range(-1074, 1024, 7)] + [np.nextafter(2.0**e, d) for e in range(-1070, 1024, 13) for d in (0, np.inf)]
+    values = sorted({*(float(x) for x in bits if np.isfinite(x)), *map(float, edges), *(-float(x) for x in edges), 0.0, 0.1, 1 / 3, float("inf"), -float("inf")})
+    df = spark.createDataFrame([(v,) for v in [*values, -0.0, float("nan")]], "v double")
+    got = {r[0]: r[1] for r in df.select("v", quantiles.order_key(F.col("v"))).collect() if r[0] == r[0]}
+    keys = [got[v] for v in values]
+    assert keys == sorted(set(keys))
+    assert all(got[v] == int(np.float64(abs(v)).view(np.int64)) * (-1 if v < 0 else 1) for v in values)
+    nan = df.where("isnan(v)").select(quantiles.order_key(F.col("v"))).first()[0]
+    assert nan > keys[-1]
+
+
+@pytest.mark.parametrize("spread", ["narrow", "wide", "signs", "ties"])
+def test_radix_selection(spark, monkeypatch, spread):
+    """Large groups by radix, small ones beside them; all values in [0, 0.003] are told apart."""
+    monkeypatch.setattr(quantiles, "PLAIN_CELLS", 50)
+    rng = np.random.default_rng(8)
+    x = {"narrow": rng.random(6000) * 0.003, "wide": 10.0 ** rng.uniform(-300, 300, 6000),
+         "signs": rng.normal(size=6000), "ties": rng.integers(-40, 40, 6000) / 7}[spread]
+    keys = np.where(rng.random(6000) < 0.9, "hot", rng.integers(0, 30, 6000).astype(str))
+    df = spark.createDataFrame(list(zip(keys.tolist(), x.tolist())), "k string, v double").repartition(6)
+    probs = [0, 0.1, 0.5, 0.77, 1]
+    got = {r["k"]: r for r in quantiles.exact_quantiles(df, ["k"], "v", probs).collect()}
+    assert set(got) == set(keys)
+    for k, r in got.items():
+        mine = np.sort(x[keys == k])
+        assert r["n"] == len(mine)
+        for i, p in enumerate(probs):
+            at = p * (len(mine) - 1)
+            lo, hi = mine[int(np.floor(at))], mine[int(np.ceil(at))]
+            expected = lo if lo == hi else (np.ceil(at) - at) * lo + (at - np.floor(at)) * hi
+            assert r[f"q{i}"] == pytest.approx(expected, rel=1e-12), (k, p)
+    whole = quantiles.exact_quantiles(df, [], "v", [0.5]).collect()
+    assert len(whole) == 1 and whole[0]["q0"] == pytest.approx(float(np.median(x)), rel=1e-12)
+
+
+def test_quantiles_combine_before_they_shuffle(spark, monkeypatch, capsys):
+    monkeypatch.setattr(quantiles, "PLAIN_CELLS", 50)
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), (F.col("id") / 7).alias("v"))
+    quantiles.exact_quantiles(df, ["k"], "v", [0.5]).explain()
+    plan = capsys.readouterr().out
+    assert "REPARTITION" not in plan and "partial_sum" in plan and "partial_percentile" in plan
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     row = quantiles.exact_quantiles(empty, [], "v", [0.5]).collect()
@@ -262,3 +308,27 @@ def test_scores_outside_the_contract_are_an_error(spark, score):
     df = spark.createDataFrame([(1, 0.5), (0, score)], "label int, score double")
     with pytest.raises(Exception, match="outside"):
         metrics.score_curve(df, "label", "score").collect()
+
+
+def test_sketches_merge_up_and_over_days(spark):
+    """Coarser grains and further days come from merging; ranks stay within twice the stated error."""
+    rng = np.random.default_rng(2)
+    n = 30_000
+    rows = [(f"m{i % 3}", f"x{i % 40}", 2000 + i % 5, float(v)) for i, v in enumerate(rng.lognormal(9, 1, n))]
+    rows += [("rare", "one", 2001, 5.0), ("rare", "one", 2001, None), (None, "one", 2001, 7.0)]
+    df = spark.createDataFrame(rows, "make string, model string, year int, mmr double").repartition(5)
+    sketches = materialize(benchmarks.market_sketches(df))
+    exact = {(r["level"], r["make"], r["model"], r["year"]): r for r in benchmarks.market_benchmark(df).collect()}
+    near = {(r["level"], r["make"], r["model"], r["year"]): r for r in benchmarks.approximate_benchmark(sketches).collect()}
+    assert set(near) == set(exact) and all(near[k]["n"] == exact[k]["n"] for k in exact)
+    assert near["make/model/year", "rare", "one", 2001]["value"] == 5.0
+    errors = [r["error"] for r in benchmarks.measured_rank_error(df, sketches).collect()]
+    assert len(errors) == len(exact) and max(errors) <= 2 * benchmarks.sketch_rank_error()
+    days = [materialize(benchmarks.market_sketches(df.where(F.pmod(F.hash("mmr"), F.lit(2)) == d))) for d in (0, 1)]
+    both = materialize(benchmarks.merged_sketches(days[0].unionByName(days[1])))
+    assert max(r["error"] for r in benchmarks.measured_rank_error(df, both).collect()) <= 2 * benchmarks.sketch_rank_error()
+    assert {r["n"] for r in benchmarks.approximate_benchmark(both).where("level = 'global'").collect()} == {n + 1}
+    # the overall group's values differ, but not by more than the error allows
+    ranked = np.sort([v for *_, v in rows if v is not None])
+    at = np.searchsorted(ranked, near["global", None, None, None]["value"]) / len(ranked)
+    assert abs(at - 0.5) <= 2 * benchmarks.sketch_rank_error() + 1e-3
