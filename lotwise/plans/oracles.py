@@ -332,6 +332,25 @@ SELECT CASE WHEN year >= 2000 AND {hash32("recent")} % 10000 < 4000 THEN 'recent
 oracle("sample_cap", SALES, select=f"""
 SELECT {ID}, make, mmr FROM sales ORDER BY {hash32("sample")}, {ID} LIMIT 20000""")
 
+# --- files --------------------------------------------------------------------------
+FILED = """filed AS (
+  SELECT * REPLACE (CASE WHEN l_orderkey % 41 <> 0 THEN transmission END AS transmission,
+    CASE WHEN l_orderkey % 41 <> 0 THEN color END AS color)
+  FROM raw WHERE l_orderkey % 37 <> 0)"""
+oracle("csv_roundtrip", SALES, RAW_SALES, FILED, PARSED.replace("FROM raw", "FROM filed"), CLEAN, select=f"""
+SELECT * EXCLUDE (copy, {ID}) FROM kept QUALIFY row_number() OVER (
+  PARTITION BY price, mmr, year, mileage, make, model, state ORDER BY {ID}, copy) = 1""")
+
+oracle("csv_first_rows", SALES, RAW_SALES, f"""lines AS (
+  SELECT {ID}, copy, make, model, sellingprice,
+    CASE WHEN l_orderkey % 43 = 0 THEN 'big "north", inc' || chr(10) || 'second line' ELSE 'dealer, inc' END AS seller
+  FROM raw WHERE l_orderkey % 37 <> 0
+  UNION ALL SELECT {ID}, 2, NULL, NULL, NULL, NULL FROM raw_once WHERE l_orderkey % 47 = 0)""", select=f"""
+SELECT make, model, sellingprice, seller FROM lines ORDER BY {ID}, copy LIMIT 7500""")
+
+oracle("split_roundtrip", SALES, select=f"""
+SELECT {ID}, make, mmr, 'test' AS split FROM sales WHERE {hash32("test")} % 10000 < 2000""")
+
 # --- benchmarks ---------------------------------------------------------------------
 LEVEL_NAME = ("CASE gid WHEN 0 THEN 'make/model/year' WHEN 1 THEN 'make/model' "
               "WHEN 3 THEN 'make' ELSE 'global' END")
@@ -342,6 +361,14 @@ SELECT {LEVEL_NAME} AS level, make, model, year, {rnd("value", 4)} AS value, n F
 oracle("mmr_approximate", SALES, BENCH, select=f"""
 SELECT {LEVEL_NAME} AS level, make, model, year, n, true AS within FROM bench""")
 
+oracle("registry_tables", SALES, DTS, BENCH, select="""
+SELECT 'mmr_lookup' AS name, count(*) AS n, CAST(0 AS BIGINT) AS differing, count(*) AS stated FROM bench
+UNION ALL SELECT 'dts_benchmark', count(*), CAST(0 AS BIGINT), count(*) FROM dts""")
+
+oracle("registry_models", SALES, select="""
+SELECT name, count(*) AS n, CAST(0 AS BIGINT) AS differing
+FROM sales, (SELECT unnest(['resale', 'band', 'profit']) AS name) GROUP BY name""")
+
 oracle("mmr_retail_proxy", SALES, """picked AS (
   SELECT * FROM sales WHERE l_linenumber <= 3
     OR (SELECT count(*) FROM sales WHERE l_linenumber <= 3) <= 1000)""", select=f"""
@@ -441,6 +468,7 @@ SELECT {ID}, recommendation, {rnd("sure", 3)} AS confidence, {rnd("resale", 2)}
   coverage_warning IS NOT NULL AS warned
 FROM evaluated"""
 oracle("evaluate_core", *LOOKUP, SCORED, EVALUATED, select=CORE)
+oracle("log_content", *LOOKUP, SCORED, EVALUATED, select=CORE)
 oracle("evaluate_live", *LOOKUP_LIVE, SCORED, EVALUATED, select=CORE)
 
 
@@ -635,6 +663,8 @@ oracle("batch_validate", SALES, LISTINGS, RAW_LISTINGS,
        select=f"SELECT {ID}, row, error FROM validated")
 oracle("batch_errors", SALES, LISTINGS, RAW_LISTINGS,
        select="SELECT row, error FROM validated WHERE error IS NOT NULL")
+oracle("csv_listing_errors", SALES, LISTINGS, RAW_LISTINGS,
+       select="SELECT row, error FROM validated WHERE error IS NOT NULL")
 TYPED = f"""typed AS (
   SELECT {ID}, row, make, model, CAST(trunc(y) AS INT) AS year, o AS odometer, c AS condition, body,
     transmission, coalesce(state, '') AS state, try_cast(mmr AS DOUBLE) AS mmr, listing_price

@@ -14,7 +14,7 @@ from ..config import Assumptions
 from ..functions import bands, decision, parse
 from ..operators import benchmarks, clean, features, metrics, options, ranking, split
 from ..session import checkpoint_root, materialize
-from ..sources import proxy, registry
+from ..sources import proxy, readers, registry, writers
 from ..sources.proxy import ROW_ID
 from ..sources.writers import append_log, prediction_log
 from . import batch, evaluate as ev
@@ -148,6 +148,50 @@ def sample_cap(spark, d):
     return split.sample_rows(proxy.sales(spark, d).select(*ROW_ID, "make", "mmr"), ROW_ID, 20_000)
 
 
+# --- files ----------------------------------------------------------------------
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _sales_files(spark, d) -> str:
+    path = _folder(spark, "sales-csv")
+    lines = proxy.sales_lines(proxy.raw_sales(proxy.sales(spark, d)))
+    writers.write_lines(lines, path, proxy.SALES_HEADER, "part", [*ROW_ID, "copy"])
+    return f"{path}/part=*"
+
+
+@query
+def csv_roundtrip(spark, d):
+    """Sales written as text with long, short, broken and many-line records, read back and cleaned."""
+    return readers.load_sales(spark, _sales_files(spark, d), multi_line=True)
+
+
+@query
+def csv_first_rows(spark, d):
+    """The first rows in the order of files and lines."""
+    rows = readers.read_text_csv(spark, _sales_files(spark, d), nrows=7_500, multi_line=True)
+    return rows.select("make", F.lower("model").alias("model"), "sellingprice", "seller")
+
+
+@query
+def csv_listing_errors(spark, d):
+    """Listings written as text and read back: the line numbers and problems of invalid rows."""
+    path = _folder(spark, "listings-csv")
+    lines = proxy.listing_lines(proxy.raw_listings(proxy.sales(spark, d)))
+    writers.write_lines(lines, path, ",".join(proxy.LISTING_COLUMNS), "part", [*ROW_ID, "odometer"])
+    checked = batch.validate(readers.load_listings(spark, f"{path}/part=*"))
+    return checked.where(F.col("error").isNotNull()).select("row", "error")
+
+
+@query
+def split_roundtrip(spark, d):
+    """Tagged sales written by split; the test rows are read back from their own folder."""
+    tagged = split.with_split(proxy.sales(spark, d), ROW_ID)
+    path = _folder(spark, "splits")
+    writers.write_splits(tagged, path)
+    return writers.read_split(spark, path, tagged.schema, "test").select(*ROW_ID, "make", "mmr", "split")
+
+
 # --- benchmarks -----------------------------------------------------------------
 @query
 def mmr_rollup(spark, d):
@@ -372,9 +416,9 @@ def scenario_grid(spark, d):
 
 
 # --- batch triage -----------------------------------------------------------------
-def _raw_listings(spark, d) -> DataFrame:
-    raw = proxy.raw_listings(proxy.sales(spark, d))
-    return ranking.with_global_rank(raw, [*ROW_ID, "odometer"], "row", start=2)
+def _raw_listings(spark, d, sold: DataFrame | None = None) -> DataFrame:
+    raw = proxy.raw_listings(materialize(proxy.sales(spark, d)) if sold is None else sold)
+    return ranking.with_key_rank(raw, "l_orderkey", [*ROW_ID, "odometer"], "row", start=2)
 
 
 @query
@@ -397,7 +441,7 @@ def batch_typed(spark, d):
 
 
 def _triage(spark, d) -> tuple[DataFrame, DataFrame]:
-    sold = proxy.sales(spark, d)
+    sold = materialize(proxy.sales(spark, d))
     bench = materialize(benchmarks.market_benchmark(sold))
     dts = materialize(proxy.days_table(spark, d))
 
@@ -405,7 +449,7 @@ def _triage(spark, d) -> tuple[DataFrame, DataFrame]:
         return ev.settle_sources(proxy.with_surrogate_scores(
             ev.resolve_benchmarks(valid, bench, dts)))
 
-    return batch.triage(_raw_listings(spark, d), surrogate)
+    return batch.triage(_raw_listings(spark, d, sold), surrogate)
 
 
 @query
@@ -419,7 +463,8 @@ def batch_summary(spark, d):
 
 
 def _ranked(spark, d, objective: str) -> DataFrame:
-    results = _triage(spark, d)[0]
+    # stored before it is sorted: finding the ranges of a sort runs the whole plan below it once more
+    results = materialize(_triage(spark, d)[0].select("row", "expected_gross_profit", "roi", "risk_level"))
     return ranking.with_global_rank(results, ranking.objective_order(objective)).select(
         "rank", "row", "expected_gross_profit", "roi", "risk_level")
 
@@ -601,6 +646,57 @@ def registry_roundtrip(spark, d):
         spark, root, ["m1_resale", "m2_dts_band", "m3_buy_pass"]).unionByName(used)
 
 
+def _differing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: the rows of ``left``, and those that only one of the two has."""
+    rows = left.columns
+    counted = (left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
+               .groupBy(*rows).agg(F.sum("_n").alias("_left"), F.count_if(F.col("_n") == 1).alias("_rows")))
+    return counted.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"),
+                       F.coalesce(F.sum(F.abs("_left")), F.lit(0)).alias("differing"))
+
+
+@query
+def registry_tables(spark, d):
+    """Benchmark tables stored in the registry and loaded again: rows, and rows that differ."""
+    sold = proxy.sales(spark, d)
+    root = _folder(spark, "registry")
+    kept = {"mmr_lookup": materialize(benchmarks.market_benchmark(sold)),
+            "dts_benchmark": materialize(proxy.days_table(spark, d))}
+    parts = []
+    for name, table in kept.items():
+        registry.save_model(spark, root, name, {"table": table}, {"rows": table.count()})
+        loaded = registry.load_model(spark, root, name)["table"]
+        stated = registry.load_metadata(spark, root, name)["rows"]
+        parts.append(_differing(table, loaded).select(F.lit(name).alias("name"), "n", "differing",
+                                                      F.lit(stated).cast("long").alias("stated")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def registry_models(spark, d):
+    """All rows scored by the models as trained and as loaded from the registry: rows, and rows that differ."""
+    artifacts, vectors = _vectors(spark, d)
+    _, root = _fitted(spark, d)
+    vectors = materialize(vectors)
+    parts = []
+    for name in ("resale", "band", "profit"):
+        both = [materialize(getattr(a, name).transform(vectors).select(*ROW_ID, column))
+                for a in (artifacts, load_artifacts(spark, root))
+                for column in [{"resale": "model_resale", "band": "band_proba", "profit": "profit_p"}[name]]]
+        parts.append(_differing(*both).select(F.lit(name).alias("name"), "n", "differing"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def log_content(spark, d):
+    """The prediction log read back: what was logged for each listing."""
+    evaluated = core_columns(_evaluated(spark, d))
+    path = _folder(spark, "log")
+    records = prediction_log(evaluated, ROW_ID, {"m1_resale": "surrogate"})
+    append_log(records, path)
+    return spark.read.schema(records.schema).json(path).select("vehicle.*", "result.*")
+
+
 @query
 def log_roundtrip(spark, d):
     evaluated = core_columns(_evaluated(spark, d))

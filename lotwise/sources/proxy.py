@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bands import days_to_band
+from .writers import csv_line
 
 ROW_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 REFERENCE_YEAR = 2002  # the test tables hold model years up to 2001
@@ -171,6 +172,38 @@ def raw_listings(sold: DataFrame) -> DataFrame:
     )
 
 
+FILE_KEYS = 20_000  # order keys that share a file
+
+
+def _file_part() -> Column:
+    return F.lpad(F.floor(F.col("l_orderkey") / FILE_KEYS).cast("string"), 12, "0").alias("part")
+
+
+SALES_HEADER = " Year,make,Model,trim,body,vin,state,condition,odometer,seller,mmr,sellingprice,transmission,color"
+
+
+def sales_lines(raw: DataFrame) -> DataFrame:
+    """Raw sales as CSV records: some too long, some short, some with a line break in a field, some without any field."""
+    key = F.col("l_orderkey")
+    seller = F.when(key % 43 == 0, 'big "north", inc\nsecond line').otherwise("dealer, inc")
+    fields = [F.col("year"), F.col("make"), F.col("model"), F.lit("lx"), F.col("body"), F.lit(None).cast("string"),
+              F.col("state"), F.col("condition"), F.col("odometer"), seller, F.col("mmr"), F.col("sellingprice")]
+    last = [F.col("transmission"), F.col("color")]
+    line = (F.when(key % 37 == 0, F.concat(csv_line(*fields, *last), F.lit(",extra")))
+            .when(key % 41 == 0, csv_line(*fields)).otherwise(csv_line(*fields, *last)))
+    rows = raw.select(_file_part(), *ROW_ID, "copy", line.alias("line"))
+    junk = rows.where((key % 47 == 0) & (F.col("copy") == 0)).withColumns({"copy": F.lit(2), "line": F.lit("###")})
+    return rows.unionByName(junk)
+
+
+LISTING_COLUMNS = ["make", "model", "year", "odometer", "condition", "body", "state", "mmr", "listing_price"]
+
+
+def listing_lines(raw: DataFrame) -> DataFrame:
+    """Raw listings as CSV records."""
+    return raw.select(_file_part(), *ROW_ID, "odometer", csv_line(*[F.col(c) for c in LISTING_COLUMNS]).alias("line"))
+
+
 def days_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long days-to-turn rows per part and month, with headings, blanks and repeats."""
     parts = read(spark, sf_dir, "part")

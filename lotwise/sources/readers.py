@@ -9,11 +9,10 @@ from pyspark.sql import types as T
 from ..functions.parse import null_if_token
 from ..operators.clean import (blend, clean_blended, clean_sales, from_auction, from_recent,
                                from_retail, parse_sales)
-from ..operators.ranking import with_global_rank
+from ..operators.ranking import FILE_ORDER as ORDER
+from ..operators.ranking import with_line_numbers
 
 CORRUPT = "_corrupt_record"
-# Position of a row in its input: file, byte offset of the split, position in the split.
-ORDER = ["src_file", "src_block", "src_pos"]
 _QUOTED = r'"(?:[^"]|"")*"'
 
 
@@ -22,7 +21,8 @@ def read_text_csv(spark: SparkSession, path: str, *, nrows: int | None = None,
     """All-text CSV with normalised header names, plus the ``ORDER`` columns.
 
     Rows with more fields than the header are dropped, short rows are padded with NULL,
-    and the usual missing-value tokens become NULL.
+    and the usual missing-value tokens become NULL. ``nrows`` keeps the first rows in the order of
+    files and lines. ``multi_line`` reads fields that hold line breaks; a file is one split then.
     """
     reader = spark.read.option("header", True).option("escape", '"') \
         .option("multiLine", multi_line)
@@ -41,20 +41,22 @@ def read_text_csv(spark: SparkSession, path: str, *, nrows: int | None = None,
         rows = rows.where((F.col(CORRUPT).isNull() | (commas <= len(names)))
                           & (F.length(F.coalesce(names[0], F.lit(""))) >= 0))
     rows = rows.select(*[null_if_token(F.col(n)).alias(n) for n in names], *ORDER)
-    return rows.limit(nrows) if nrows is not None else rows
+    # ordered, then limited: each task keeps its first nrows rows and one merges them
+    return rows.orderBy(*ORDER).limit(nrows) if nrows is not None else rows
 
 
-def load_sales(spark: SparkSession, path: str, nrows: int | None = None) -> DataFrame:
+def load_sales(spark: SparkSession, path: str, nrows: int | None = None, *,
+               multi_line: bool = False) -> DataFrame:
     """Cleaned auction sales in the eleven-column model schema."""
-    raw = read_text_csv(spark, path, nrows=nrows)
+    raw = read_text_csv(spark, path, nrows=nrows, multi_line=multi_line)
     return clean_sales(parse_sales(raw, ORDER), ORDER).drop(*ORDER)
 
 
 def load_blended(spark: SparkSession, retail: str, auction: str, recent: str,
-                 nrows: int | None = None) -> DataFrame:
+                 nrows: int | None = None, *, multi_line: bool = False) -> DataFrame:
     """Cleaned union of retail, auction and recent listings in the common schema."""
     def read(path: str, skip: bool) -> DataFrame:
-        return read_text_csv(spark, path, nrows=nrows, skip_long_rows=skip)
+        return read_text_csv(spark, path, nrows=nrows, skip_long_rows=skip, multi_line=multi_line)
 
     blended = blend(from_retail(read(retail, False), ORDER),
                     from_auction(read(auction, True), ORDER),
@@ -62,10 +64,13 @@ def load_blended(spark: SparkSession, retail: str, auction: str, recent: str,
     return clean_blended(blended, ORDER).drop(*ORDER, "source_order")
 
 
-def load_listings(spark: SparkSession, path: str) -> DataFrame:
-    """Candidate listings as text with ``row``, the line number in the file (header = 1)."""
-    rows = read_text_csv(spark, path, skip_long_rows=False)
-    return with_global_rank(rows, ORDER, "row", start=2).drop(*ORDER)
+def load_listings(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """Candidate listings as text with ``row``, the line number in the file (header = 1).
+
+    Rows that hold line breaks count as one line. Of several files the numbers go on from one to the next.
+    """
+    rows = read_text_csv(spark, path, skip_long_rows=False, multi_line=multi_line)
+    return with_line_numbers(rows, "row", start=2).drop(*ORDER)
 
 
 def load_days_table(spark: SparkSession, path: str) -> DataFrame:
