@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
-# A resolved table up to this many rows is broadcast; its rows are counted first.
-BROADCAST_ROWS = 500_000
+# A resolved table up to this many bytes is broadcast; they are added up first.
+BROADCAST_BYTES = 96 << 20
 # Beyond that, keys with at least one row in HOT_SHARE are joined by broadcast, and all
 # other keys by shuffle. By arithmetic there are at most HOT_SHARE such keys.
 HOT_SHARE = 1_000
@@ -38,15 +39,28 @@ def keyed_lookup(rows: DataFrame, keys: dict[str, Column],
     return joined.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in added])
 
 
-def attach(rows: DataFrame, table: DataFrame, on: list[str],
-           table_rows: int | None = None) -> DataFrame:
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes of a column in a broadcast row, about."""
+    value = F.col(name)
+    if isinstance(kind, T.StructType):
+        parts = [_width(f"{name}.{f.name}", f.dataType) for f in kind.fields]
+        return sum(parts, F.lit(24))
+    return F.coalesce(F.octet_length(value), F.lit(0)) + 16 if isinstance(kind, T.StringType) else F.lit(16)
+
+
+def table_bytes(table: DataFrame) -> int:
+    """What a table takes when it is broadcast, about: its columns and a hash entry for each row."""
+    widths = [_width(f"`{f.name}`", f.dataType) for f in table.schema.fields]
+    return table.agg(F.sum(sum(widths, F.lit(32)).cast("long"))).first()[0] or 0
+
+
+def attach(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
     """Left join of ``rows`` with ``table`` (one row per key; columns on, _rows, _found).
 
-    ``_rows`` is the number of rows expected per key, ``table_rows`` the size of the
-    table where the caller has already counted it.
+    ``_rows`` is the number of rows expected per key.
     """
     slim = table.select(*on, "_found")
-    if (table.count() if table_rows is None else table_rows) <= BROADCAST_ROWS:
+    if table_bytes(slim) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(slim), on, "left")
 
     total = table.agg(F.sum("_rows").alias("n")).scalar()

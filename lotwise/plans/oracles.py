@@ -433,8 +433,7 @@ def code(c: str) -> str:
 
 oracle("encode_features", SALES, FEATURES, """known AS (
   UNPIVOT (SELECT f.make, f.model, f.body, f.transmission, f.state, f.color
-    FROM feats f JOIN inputs i USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)
-    WHERE i.year < 2001)
+    FROM feats f WHERE """ + f"{hash32('test')} % 10000 >= 2000 AND {hash32('val')} % 10000 >= 1500" + """)
   ON make, model, body, transmission, state, color INTO NAME feature VALUE value),
 codes AS (
   SELECT feature, value, CAST(rank() OVER (PARTITION BY feature ORDER BY value) - 1 AS DOUBLE) AS idx

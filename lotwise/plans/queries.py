@@ -282,9 +282,8 @@ def features_imputed(spark, d):
 
 @query
 def encode_features(spark, d):
-    known = features.build_features(_feature_input(spark, d).where(F.col("year") < 2001),
-                                    keep=ROW_ID)
     rows = features.build_features(_feature_input(spark, d), keep=ROW_ID)
+    known = split.with_split(rows, ROW_ID).where(F.col("split") == "train")
     encoder = materialize(features.fit_encoder(known))
     return features.encode(rows, encoder).select(*ROW_ID, *config.CATEGORICAL_FEATURES)
 

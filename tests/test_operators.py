@@ -100,9 +100,9 @@ FOUND = [(20500.0, "make/model/year", 2), (20500.0, "make/model", 2), (15000.0,
          (20000.0, "global", 3), (20000.0, "global", 3)]
 
 
-@pytest.mark.parametrize("broadcast_rows, hot_share", [(500_000, 1), (0, 1), (0, 10)])
-def test_lookup_levels_on_every_join_path(spark, monkeypatch, broadcast_rows, hot_share):
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes, hot_share", [(500_000, 1), (0, 1), (0, 10)])
+def test_lookup_levels_on_every_join_path(spark, monkeypatch, broadcast_bytes, hot_share):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", broadcast_bytes)
     monkeypatch.setattr(lookup, "HOT_SHARE", hot_share)
     bench = _bench(spark)
     rows = [(i, *ASKED[i % 5]) for i in range(20)]
@@ -200,9 +200,9 @@ def test_features(spark):
         features.assert_no_leakage(["make", "price"])
 
 
-@pytest.mark.parametrize("broadcast_rows, hot_share", [(500_000, 1), (0, 1), (0, 2)])
-def test_encoder(spark, monkeypatch, broadcast_rows, hot_share):
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes, hot_share", [(500_000, 1), (0, 1), (0, 2)])
+def test_encoder(spark, monkeypatch, broadcast_bytes, hot_share):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", broadcast_bytes)
     monkeypatch.setattr(lookup, "HOT_SHARE", hot_share)
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "make string")
     known = features.build_features(df)
@@ -212,6 +212,32 @@ def test_encoder(spark, monkeypatch, broadcast_rows, hot_share):
     assert got == [-1.0, 0.0, 2.0]
 
 
+@pytest.mark.parametrize("broadcast_bytes, hot_share", [(96 << 20, 1000), (0, 1000), (0, 3)])
+def test_encoder_with_mostly_unseen_values(spark, monkeypatch, broadcast_bytes, hot_share):
+    """More than half of the rows hold values the dictionary doesn't, many of them one hot value."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(lookup, "HOT_SHARE", hot_share)
+    known = features.build_features(spark.createDataFrame(
+        [(f"m{i}", f"x{i % 7}", f"s{i % 3}") for i in range(40)], "make string, model string, state string"))
+    encoder = materialize(features.fit_encoder(known))
+    rows = [(i, "new" if i % 2 else f"m{i % 60}", f"y{i}" if i % 3 else f"x{i % 9}", f"s{i % 5}") for i in range(600)]
+    asked = features.build_features(spark.createDataFrame(rows, "id long, make string, model string, state string"), keep=["id"])
+    got = features.encode(asked, encoder)
+    assert got.columns == asked.columns
+    order = {"make": sorted({f"m{i}" for i in range(40)}), "model": sorted({f"x{i}" for i in range(7)}),
+             "state": sorted({f"s{i}" for i in range(3)})}
+    index = lambda c, v: float(order[c].index(v)) if v in order[c] else -1.0
+    expected = sorted((i, index("make", a), index("model", b), index("state", c), 0.0) for i, a, b, c in rows)
+    assert sorted((r["id"], r["make"], r["model"], r["state"], r["color"]) for r in got.collect()) == expected
+    assert sum(e[1] < 0 for e in expected) > 300
+
+
+def test_broadcast_size_is_measured_in_bytes(spark):
+    table = spark.createDataFrame([("a" * 1000, 1.0, ("b" * 500, 2))], "k string, v double, s struct<x:string,y:int>")
+    assert 1500 < lookup.table_bytes(table) < 1700
+    assert lookup.table_bytes(table.limit(0)) == 0
+
+
 def _curve_rows(seed, n=400):
     rng = random.Random(seed)
     rows = [(int(rng.random() < 0.6), round(rng.random(), 2)) for _ in range(n)]
