@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from . import messages as M
+from .rounding import round_exact
 
 
 def clip(score: Column) -> Column:
@@ -20,7 +21,7 @@ def level_of(score: Column) -> Column:
 
 def scored(raw: Column, basis: Column) -> Column:
     """Struct (score, level, basis) from an unclipped score."""
-    score = F.round(clip(raw), 3)
+    score = round_exact(clip(raw), 3)
     return F.struct(score.alias("score"), level_of(score).alias("level"), basis.alias("basis"))
 
 

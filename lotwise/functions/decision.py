@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import AssumptionColumns
 from . import messages as M
+from .rounding import round_exact
 
 
 def holding_cost(a: AssumptionColumns, days: Column) -> Column:
@@ -28,12 +29,12 @@ def financials(purchase: Column, resale: Column, a: AssumptionColumns, days: Col
     invested = purchase + a.repair_estimate
     net = resale - purchase - a.repair_estimate - holding
     return F.struct(
-        F.round(purchase, 2).alias("purchase_price"),
-        F.round(a.repair_estimate, 2).alias("estimated_repairs"),
-        F.round(resale, 2).alias("predicted_resale_price"),
-        F.round(holding, 2).alias("total_holding_cost"),
-        F.round(net, 2).alias("net_profit"),
-        F.round(F.when(invested > 0, net / invested).otherwise(0.0), 4).alias("roi"),
+        round_exact(purchase, 2).alias("purchase_price"),
+        round_exact(a.repair_estimate, 2).alias("estimated_repairs"),
+        round_exact(resale, 2).alias("predicted_resale_price"),
+        round_exact(holding, 2).alias("total_holding_cost"),
+        round_exact(net, 2).alias("net_profit"),
+        round_exact(F.when(invested > 0, net / invested).otherwise(0.0), 4).alias("roi"),
     )
 
 

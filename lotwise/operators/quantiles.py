@@ -3,8 +3,8 @@
 Groups of few distinct values go through Spark's own ``percentile``, which is combined before the exchange. It keeps every
 distinct value of a group in one buffer, so large groups, such as the overall median or a hot make, are selected by radix instead:
 a histogram over the leading bits of an order-preserving integer, also combined before its exchange, shows which branch holds the
-wanted rank, and only the values of that branch are looked at for the bits that follow. Four levels of 16 bits
-end at a single value.
+wanted rank, and only the values of that branch are looked at for the bits that follow. Where few are left they are ranked;
+four levels of 16 bits end at a single value in any case.
 """
 
 from __future__ import annotations
@@ -98,18 +98,30 @@ def radix_quantiles(cells: DataFrame, keys: Sequence[str], probs: Sequence[float
               .withColumns({"_below": F.lit(0).cast("long"), "_up": F.lit(0).cast("long")}))
     own = [*keys, "_total", "_rank"]
     held = cells.drop("_total")
+    reached = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c"))
+
+    def upto(order: str) -> Column:
+        window = Window.partitionBy(*own).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return F.col("_below") + F.sum("_c").over(window)
+
     for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
         up = F.shiftright("_k", shift + DIGIT_BITS) if shift + DIGIT_BITS < 64 else F.lit(0).cast("long")
         rows = held.withColumn("_up", up).join(sent(branch), [*keys, "_up"]).select(
             *own, "_below", F.shiftright("_k", shift).alias("_digits"), "_n", "_v")
-        counted = rows.groupBy(*own, "_below", "_digits").agg(F.sum("_n").alias("_c"), F.max("_v").alias("_v"))
-        # a group has at most 2 ** DIGIT_BITS rows here
-        upto = F.col("_below") + F.sum("_c").over(
-            Window.partitionBy(*own).orderBy("_digits").rowsBetween(Window.unboundedPreceding, 0))
-        branch = (counted.withColumn("_upto", upto)
-                  .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c")))
-                  .select(*own, (F.col("_upto") - F.col("_c")).alias("_below"), F.col("_digits").alias("_up"),
-                          F.col("_v").alias("_found")))
+        counted = rows.groupBy(*own, "_below", "_digits").agg(
+            F.sum("_n").alias("_c"), F.count(F.lit(1)).alias("_cells"), F.max("_v").alias("_v"))
+        # a group has at most 2 ** DIGIT_BITS rows here; one row per group and rank is left
+        branch = materialize(
+            counted.withColumn("_upto", upto("_digits")).where(reached)
+            .select(*own, (F.col("_upto") - F.col("_c")).alias("_below"), F.col("_digits").alias("_up"), "_cells",
+                    F.col("_v").alias("_found")))
+        if shift and (branch.agg(F.max("_cells")).first()[0] or 0) <= PLAIN_CELLS:
+            # few values are left in each branch: ranked as they are
+            rows = held.withColumn("_up", F.shiftright("_k", shift)).join(sent(branch), [*keys, "_up"])
+            branch = rows.select(*own, "_below", "_v", F.col("_n").alias("_c")).withColumn("_upto", upto("_v")).where(
+                reached).withColumn("_found", F.col("_v"))
+            break
+        branch = branch.drop("_cells") if not shift else branch.drop("_cells", "_found")
     at = [[F.max(F.when(F.col("_rank") == r, F.col("_found"))) for r in spot] for spot in spots]
     found = branch.groupBy(*keys, "_total").agg(*[v.alias(f"_{side}{i}") for i, both in enumerate(at)
                                                   for side, v in zip(("lo", "hi"), both)])

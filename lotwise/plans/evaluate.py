@@ -13,6 +13,7 @@ from ..config import AssumptionColumns, Assumptions
 from ..functions import bands, confidence as conf, decision
 from ..functions import messages as M
 from ..functions.parse import key_text, or_unknown
+from ..functions.rounding import round_exact
 from ..operators.benchmarks import lookup_days, lookup_live, lookup_market, market_keys
 from ..operators.lookup import keyed_lookup
 
@@ -82,31 +83,65 @@ def settle_sources(scored: DataFrame) -> DataFrame:
     })
 
 
+def scenario_free(scored: DataFrame) -> DataFrame:
+    """Add what no assumption changes: trust, reconciled price, market figures and their sentences."""
+    mmr, raw = F.col("mmr"), F.col("predicted_resale")
+    df = scored.withColumn("resale_confidence", conf.resale_confidence(
+        F.col("price_source"), F.col("mmr_match_level"), raw, mmr,
+        F.col("coverage_warning").isNotNull()))
+    trust = F.col("resale_confidence.score")
+    shrunk = (F.col("price_source") == "model") & (mmr > 0)
+    df = df.withColumn("_resale", F.when(shrunk, trust * raw + (1.0 - trust) * mmr).otherwise(raw))
+    resale, days, band = F.col("_resale"), F.col("benchmark_days"), F.col("days_band")
+    moved = F.abs(resale - raw) / F.greatest(F.abs(raw), F.lit(1.0)) >= 0.05
+    level = F.col("mmr_match_level")
+    live = F.col("price_source") == "live"
+    sure = conf.weakest(F.col("profit_p"), trust)
+    return df.withColumns({
+        "_confidence": sure,
+        "_market_notes": M.present(
+            F.col("coverage_warning"),
+            F.when(live & (F.col("live_sample_size") > 0),
+                   M.fill(M.NOTE_LIVE_COUNT, n=F.col("live_sample_size").cast("string")))
+            .when(live, M.NOTE_LIVE)
+            .when(~level.isin("provided", "make/model/year", "live"), M.fill(M.NOTE_LEVEL, level=level)),
+            F.when(shrunk & moved, M.fill(
+                M.NOTE_RECONCILED, raw=M.whole(raw), resale=M.whole(resale),
+                level=F.lower(F.col("resale_confidence.level"))))),
+        "confidence": round_exact(sure, 3),
+        "predicted_resale_price": round_exact(resale, 2),
+        "days_to_sell_band": band,
+        "market_value_mmr": round_exact(mmr, 2),
+        "market_value_confidence": F.when(mmr.isNotNull(), conf.market_value_confidence(
+            level, F.col("mmr_sample_size"))),
+        "days_band_confidence": conf.days_band_confidence(F.col("band_proba"),
+                                                          F.col("band_from_live")),
+        "buy_pass_confidence": conf.buy_pass_confidence(F.col("profit_p"), trust),
+        "market_demand": bands.demand_text(band),
+        "days_to_sell_benchmark": round_exact(days, 1),
+    })
+
+
 def evaluate(scored: DataFrame,
              assumptions: Assumptions | Sequence[Assumptions] = Assumptions()) -> DataFrame:
     """Financials, verdict, confidence, flags and explanations for scored listings.
 
     With several assumptions every listing is evaluated once per scenario; the result
-    then carries ``scenario`` (their position) and only the decision columns are redone.
+    then carries ``scenario`` (their position). What no assumption changes is computed before a listing
+    is multiplied, so once for each listing.
     """
-    carried = [c for c in scored.columns if c != "confidence"]
+    carried = [c for c in scored.columns if c not in ("confidence", "scenario")]
+    df = scenario_free(scored.select(*carried))
     if isinstance(assumptions, Assumptions):
-        a, df = assumptions.columns(), scored.select(*carried)
+        a = assumptions.columns()
     else:
-        df = scored.select(*carried, F.posexplode(F.array(*[
+        df = df.select("*", F.posexplode(F.array(*[
             F.struct(*[F.lit(float(getattr(s, f.name))).alias(f.name) for f in fields(s)])
             for s in assumptions])).alias("scenario", "assumptions"))
         a = AssumptionColumns.from_struct("assumptions")
         carried = [*carried, "scenario"]
 
-    mmr, raw = F.col("mmr"), F.col("predicted_resale")
-    df = df.withColumn("resale_confidence", conf.resale_confidence(
-        F.col("price_source"), F.col("mmr_match_level"), raw, mmr,
-        F.col("coverage_warning").isNotNull()))
-    trust = F.col("resale_confidence.score")
-    shrunk = (F.col("price_source") == "model") & (mmr > 0)
-    df = df.withColumn("_resale", F.when(shrunk, trust * raw + (1.0 - trust) * mmr).otherwise(raw))
-    resale, days = F.col("_resale"), F.col("benchmark_days")
+    mmr, resale, days = F.col("mmr"), F.col("_resale"), F.col("benchmark_days")
     df = df.withColumn("_purchase", F.coalesce(
         "listing_price", mmr * (1.0 - a.acquisition_discount), resale))
     purchase, listing = F.col("_purchase"), F.col("listing_price")
@@ -115,7 +150,6 @@ def evaluate(scored: DataFrame,
         "financial_summary": decision.financials(purchase, resale, a, days),
         "_ceiling": decision.max_purchase_price(resale, a, days),
         "_delta": bands.price_delta(purchase, mmr),
-        "_confidence": conf.weakest(F.col("profit_p"), trust),
     })
     ceiling, delta, sure = F.col("_ceiling"), F.col("_delta"), F.col("_confidence")
     roi, net = F.col("financial_summary.roi"), F.col("financial_summary.net_profit")
@@ -130,46 +164,22 @@ def evaluate(scored: DataFrame,
         .when(F.col("recommendation") != "Buy", M.fill(M.GUIDE_HOLD, listing=M.whole(listing)))
         .otherwise(M.fill(M.GUIDE_BUY, listing=M.whole(listing), ceiling=M.whole(ceiling),
                           margin=margin, head=M.whole(ceiling - listing))))
-    moved = F.abs(resale - raw) / F.greatest(F.abs(raw), F.lit(1.0)) >= 0.05
-    level = F.col("mmr_match_level")
-    live = F.col("price_source") == "live"
-    before = M.present(
-        F.col("coverage_warning"),
-        F.when(live & (F.col("live_sample_size") > 0),
-               M.fill(M.NOTE_LIVE_COUNT, n=F.col("live_sample_size").cast("string")))
-        .when(live, M.NOTE_LIVE)
-        .when(~level.isin("provided", "make/model/year", "live"), M.fill(M.NOTE_LEVEL, level=level)),
-        F.when(shrunk & moved, M.fill(
-            M.NOTE_RECONCILED, raw=M.whole(raw), resale=M.whole(resale),
-            level=F.lower(F.col("resale_confidence.level")))),
+    priced = M.present(
         F.when(listing.isNull() & mmr.isNotNull(),
                M.fill(M.NOTE_DISCOUNT, discount=M.percent(a.acquisition_discount)))
-        .when(listing.isNull(), M.NOTE_RESALE),
-    )
-    band = F.col("days_band")
+        .when(listing.isNull(), M.NOTE_RESALE))
     df = df.withColumns({
-        "confidence": F.round(sure, 3),
-        "predicted_resale_price": F.round(resale, 2),
-        "days_to_sell_band": band,
         "expected_gross_profit": net,
         "roi": roi,
-        "max_purchase_price": F.round(ceiling, 2),
-        "market_value_mmr": F.round(mmr, 2),
-        "price_vs_mmr_delta": F.round(delta, 4),
-        "market_value_confidence": F.when(mmr.isNotNull(), conf.market_value_confidence(
-            level, F.col("mmr_sample_size"))),
-        "days_band_confidence": conf.days_band_confidence(F.col("band_proba"),
-                                                          F.col("band_from_live")),
-        "buy_pass_confidence": conf.buy_pass_confidence(F.col("profit_p"), trust),
+        "max_purchase_price": round_exact(ceiling, 2),
+        "price_vs_mmr_delta": round_exact(delta, 4),
         "data_quality_flags": conf.quality_flags(F.col("odometer"), F.col("year"), resale, mmr,
                                                  delta, roi),
         "price_guidance": guidance,
-        "risk_level": bands.risk_level(band, sure, a.risk_tolerance),
-        "market_demand": bands.demand_text(band),
-        "days_to_sell_benchmark": F.round(days, 1),
+        "risk_level": bands.risk_level(F.col("days_band"), sure, a.risk_tolerance),
         "top_factors": top_factors(delta),
     })
-    df = df.withColumn("notes", F.concat(before, F.col("reasons"), F.array("price_guidance")))
+    df = df.withColumn("notes", F.concat("_market_notes", priced, F.col("reasons"), F.array("price_guidance")))
     df = df.withColumn("risk_summary", F.struct(
         "days_to_sell_band", "days_to_sell_benchmark", "market_demand", "risk_level"))
     new = [

@@ -15,6 +15,11 @@ def rnd(x: str, digits: int) -> str:
             f" AS DOUBLE)")
 
 
+def near(x: str, digits: int) -> str:
+    """Round by the binary value of a double, ties to even."""
+    return f"CAST(format('{{:.{digits}f}}', CAST({x} AS DOUBLE)) AS DOUBLE)"
+
+
 def whole(x: str) -> str:
     return f"format('{{:,.0f}}', CAST({x} AS DOUBLE))"
 
@@ -126,7 +131,7 @@ def level(x: str) -> str:
 
 
 def clip3(x: str) -> str:
-    return rnd(f"greatest(0.02e0, least(0.98e0, {x}))", 3)
+    return near(f"greatest(0.02e0, least(0.98e0, {x}))", 3)
 
 
 LEVEL_BASE = """CASE mmr_match_level WHEN 'provided' THEN 0.9e0 WHEN 'live' THEN 0.9e0
@@ -177,8 +182,8 @@ def evaluated(margin="0.15e0", min_profit="1000e0", tolerance="0.6e0", per_day="
     (purchase - mmr) / CASE WHEN mmr <> 0 THEN mmr END AS delta
   FROM {name}_b),
 {name}_d AS (
-  SELECT *, {rnd("net_raw", 2)} AS expected_gross_profit,
-    {rnd(f"CASE WHEN purchase + {repairs} > 0 THEN net_raw / (purchase + {repairs}) ELSE 0e0 END", 4)} AS roi
+  SELECT *, {near("net_raw", 2)} AS expected_gross_profit,
+    {near(f"CASE WHEN purchase + {repairs} > 0 THEN net_raw / (purchase + {repairs}) ELSE 0e0 END", 4)} AS roi
   FROM {name}_c),
 {name} AS (
   SELECT *, CASE WHEN roi >= {margin} AND expected_gross_profit >= {min_profit}
@@ -457,13 +462,13 @@ FROM labelled GROUP BY label""")
 
 # --- decision layer ---------------------------------------------------------------------
 CORE = f"""
-SELECT {ID}, recommendation, {rnd("sure", 3)} AS confidence, {rnd("resale", 2)} AS predicted_resale_price,
-  days_band AS days_to_sell_band, expected_gross_profit, roi, {rnd("ceiling", 2)} AS max_purchase_price,
-  {rnd("mmr", 2)} AS market_value_mmr, {rnd("delta", 4)} AS price_vs_mmr_delta, price_source,
+SELECT {ID}, recommendation, {near("sure", 3)} AS confidence, {near("resale", 2)} AS predicted_resale_price,
+  days_band AS days_to_sell_band, expected_gross_profit, roi, {near("ceiling", 2)} AS max_purchase_price,
+  {near("mmr", 2)} AS market_value_mmr, {near("delta", 4)} AS price_vs_mmr_delta, price_source,
   mmr_match_level, mmr_sample_size, risk_level,
   CASE days_band WHEN 'Fast' THEN 'High demand' WHEN 'Moderate' THEN 'Steady demand'
     WHEN 'Slow' THEN 'Soft demand' ELSE 'Weak demand' END AS market_demand,
-  {rnd("benchmark_days", 1)} AS days_to_sell_benchmark, {rnd("purchase", 2)} AS purchase_price,
+  {near("benchmark_days", 1)} AS days_to_sell_benchmark, {near("purchase", 2)} AS purchase_price,
   coverage_warning IS NOT NULL AS warned
 FROM evaluated"""
 oracle("evaluate_core", *LOOKUP, SCORED, EVALUATED, select=CORE)
@@ -548,12 +553,12 @@ oracle("financials", *LOOKUP, SCORED, """deal AS (
   SELECT *, coalesce(listing_price, mmr) AS buy,
     20e0 * CASE WHEN l_linenumber <> 4 THEN benchmark_days ELSE 45e0 END AS holding FROM scored)""",
        select=f"""
-SELECT {ID}, {rnd("buy", 2)} AS purchase_price, 0e0 AS estimated_repairs,
-  {rnd("predicted_resale", 2)} AS predicted_resale_price, {rnd("holding", 2)} AS total_holding_cost,
-  {rnd("predicted_resale - buy - 0e0 - holding", 2)} AS net_profit,
-  {rnd("CASE WHEN buy > 0 THEN (predicted_resale - buy - 0e0 - holding) / buy ELSE 0e0 END", 4)} AS roi,
-  {rnd("predicted_resale - 0e0 - 20e0 * benchmark_days - 0.15e0 * predicted_resale", 2)} AS max_price,
-  {rnd("0.15e0 * predicted_resale", 2)} AS required_profit
+SELECT {ID}, {near("buy", 2)} AS purchase_price, 0e0 AS estimated_repairs,
+  {near("predicted_resale", 2)} AS predicted_resale_price, {near("holding", 2)} AS total_holding_cost,
+  {near("predicted_resale - buy - 0e0 - holding", 2)} AS net_profit,
+  {near("CASE WHEN buy > 0 THEN (predicted_resale - buy - 0e0 - holding) / buy ELSE 0e0 END", 4)} AS roi,
+  {near("predicted_resale - 0e0 - 20e0 * benchmark_days - 0.15e0 * predicted_resale", 2)} AS max_price,
+  {near("0.15e0 * predicted_resale", 2)} AS required_profit
 FROM deal""")
 
 VERDICT_P = ("CASE WHEN roi >= 0.15e0 AND expected_gross_profit >= 1000e0 AND profit_p >= 0.6e0 "
@@ -563,7 +568,7 @@ SELECT {ID}, {VERDICT_P} AS verdict, {joined(*reasons("profit_p", VERDICT_P))} A
 FROM evaluated""")
 
 oracle("reconcile", *LOOKUP, SCORED, EVALUATED, select=f"""
-SELECT {ID}, {rnd("predicted_resale", 4)} AS raw, {rnd("resale", 2)} AS predicted_resale_price,
+SELECT {ID}, {rnd("predicted_resale", 4)} AS raw, {near("resale", 2)} AS predicted_resale_price,
   trust AS weight FROM evaluated""")
 
 
@@ -626,7 +631,7 @@ oracle("scenario_grid", *LOOKUP, SCORED, SCENARIOS,
        select=f"""
 SELECT scenario, recommendation, days_band AS days_to_sell_band, risk_level, count(*) AS n,
   {rnd("CAST(sum(CAST(CAST(expected_gross_profit AS VARCHAR) AS DECIMAL(38,4))) AS DOUBLE)", 1)} AS profit,
-  max(roi) AS best_roi, min({rnd("ceiling", 2)}) AS lowest_ceiling
+  max(roi) AS best_roi, min({near("ceiling", 2)}) AS lowest_ceiling
 FROM evaluated GROUP BY 1, 2, 3, 4""")
 
 # --- batch triage ---------------------------------------------------------------------------
@@ -673,8 +678,8 @@ oracle("batch_typed", SALES, LISTINGS, RAW_LISTINGS, TYPED, select=f"SELECT * EX
 BATCH = (SALES, DTS, LISTINGS, BENCH, NO_LIVE, RAW_LISTINGS, TYPED,
          RESOLVED.replace("FROM listings l", "FROM typed l"), SCORED, EVALUATED)
 RESULTS = f"""results AS (
-  SELECT row, make, model, year, recommendation, {rnd("sure", 3)} AS confidence,
-    {rnd("resale", 2)} AS predicted_resale, {rnd("ceiling", 2)} AS max_purchase_price,
+  SELECT row, make, model, year, recommendation, {near("sure", 3)} AS confidence,
+    {near("resale", 2)} AS predicted_resale, {near("ceiling", 2)} AS max_purchase_price,
     expected_gross_profit, roi, days_band AS days_to_sell_band, risk_level FROM evaluated)"""
 oracle("batch_results", *BATCH, RESULTS, select="SELECT * FROM results")
 oracle("batch_summary", *BATCH, RESULTS, select="""

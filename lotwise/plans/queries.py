@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..config import Assumptions
 from ..functions import bands, decision, parse
+from ..functions.rounding import round_exact
 from ..operators import benchmarks, clean, features, metrics, options, ranking, split
 from ..session import checkpoint_root, materialize
 from ..sources import proxy, readers, registry, writers
@@ -43,7 +44,7 @@ def r4(c: Column | str) -> Column:
 # --- shared inputs ------------------------------------------------------------
 def scored_listings(spark: SparkSession, d: str, live: bool = False) -> DataFrame:
     """Whole listings table with benchmarks resolved and surrogate scores."""
-    sold = proxy.sales(spark, d)
+    sold = materialize(proxy.sales(spark, d))
     bench = materialize(benchmarks.market_benchmark(sold))
     dts = materialize(proxy.days_table(spark, d))
     feed = materialize(benchmarks.comparables(proxy.live_listings(sold))) if live else None
@@ -218,7 +219,7 @@ def mmr_retail_proxy(spark, d):
 
 
 def _resolved(spark, d) -> DataFrame:
-    sold = proxy.sales(spark, d)
+    sold = materialize(proxy.sales(spark, d))
     bench = materialize(benchmarks.market_benchmark(sold))
     dts = materialize(proxy.days_table(spark, d))
     return ev.resolve_benchmarks(proxy.listings(sold), bench, dts)
@@ -351,8 +352,8 @@ def financials(spark, d):
     fin = decision.financials(F.coalesce("listing_price", "mmr"), F.col("predicted_resale"), a,
                               F.when(F.col("l_linenumber") != 4, F.col("benchmark_days")))
     ceiling = decision.max_purchase_price(F.col("predicted_resale"), a, F.col("benchmark_days"))
-    return s.select(*ROW_ID, fin.alias("f"), F.round(ceiling, 2).alias("max_price"),
-                    F.round(decision.required_profit(F.col("predicted_resale"),
+    return s.select(*ROW_ID, fin.alias("f"), round_exact(ceiling, 2).alias("max_price"),
+                    round_exact(decision.required_profit(F.col("predicted_resale"),
                                                      a.target_profit_margin), 2).alias("required_profit")
                     ).select(*ROW_ID, "f.*", "max_price", "required_profit")
 

@@ -85,6 +85,13 @@ def test_scenarios_match_single_runs(spark):
         "listing_price string").transform(batch.validate))
     scored = materialize(score(listings))
     grid = [Assumptions(), Assumptions(target_profit_margin=0.4), Assumptions(repair_estimate=2500.0)]
+    spark.conf.set("spark.sql.debug.maxToStringFields", "5000")
+    plan = ev.evaluate(scored, grid)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, _, below = plan.partition("Generate posexplode")
+    # sentences and confidences of the market are below the generator, so made once per listing
+    for once in ("Market value estimated at the", "reconciled toward the market", "Classifier probability"):
+        assert once in below and once not in above
     many = {(r["scenario"], r["id"]): (r["recommendation"], r["roi"], r["max_purchase_price"])
             for r in ev.evaluate(scored, grid).collect()}
     assert len(many) == 30
