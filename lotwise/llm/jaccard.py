@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import python_batches, stored, table, texts
@@ -25,8 +26,11 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100  # link when DENOMINATOR * common >= NUMERATOR * union
 PACK_BYTES = 16 << 20  # text per bucket of packed shingles
 SMALL = 64  # documents of a region that is joined directly
-PIVOTS = 16  # per region in the first round, sixteen times as many in each further one
+PIVOTS = 16  # per region in the first round, GROWTH times as many in each further one
+GROWTH = 4_096
+WINDOWS = 2  # pivots of a region whose distances send members away
 FREQUENT = 100_000  # shingles whose frequency orders the pivots, at most
+BROADCAST_KEYS = 1_000_000  # 64-bit keys, so a few tens of MB as a hash table
 ONE = np.uint64(1)
 
 
@@ -165,6 +169,16 @@ def _postings(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n", "hashes").mapInArrow(enter, "s long, x long, n long, pos long")
 
 
+def _distinct_regions(entered: DataFrame) -> DataFrame:
+    """s, docs: regions of more than one document; of those with equal members the first in the order of pivots.
+
+    Two documents first meet in their first common pivot's region, and no region with equal members comes before that one but itself.
+    """
+    members = entered.groupBy("s").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.xxhash64("x", F.lit("a")) % (1 << 40)).alias("sum_a"),
+                                       F.sum(F.xxhash64("x", F.lit("b")) % (1 << 40)).alias("sum_b"), F.min(F.struct("x", "pos"))["pos"].alias("pos"))
+    return members.where(F.col("docs") > 1).groupBy("docs", "sum_a", "sum_b").agg(F.min_by("s", F.struct("pos", "s")).alias("s")).select("s", "docs")
+
+
 def _merged(names: DataFrame, found: DataFrame) -> DataFrame:
     """names (node, label) after the links a, b: labels that a link joins become the smallest of them."""
     ends = found.join(names.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(
@@ -180,10 +194,11 @@ def linked(sets: DataFrame) -> DataFrame:
     The first round's pivots come from all documents of a region, later ones from those outside its largest component,
     so a region ends when each of these has been a pivot.
     """
-    entered = _postings(sets)
-    crowd = entered.groupBy("s").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > 1)
+    entered = stored(_postings(sets))
+    crowd = _distinct_regions(entered)
     names = sets.select("node", F.col("node").alias("label"))
-    active = stored(entered.join(crowd, "s").select("s", "x", "n", "pos", "docs", F.col("x").alias("label"), F.lit(True).alias("ask")))
+    placed = stored(entered.join(crowd, "s"))
+    active = stored(placed.select("s", "x", "n", "pos", "docs", F.col("x").alias("label"), F.lit(True).alias("ask")))
     done, classes_ = None, PIVOTS
     # a linked pair must be able to have all it shares from its first common pivot on; elsewhere it need not meet
     near = (DENOMINATOR * F.least("n", "np") >= NUMERATOR * F.greatest("n", "np")) & (
@@ -210,7 +225,10 @@ def linked(sets: DataFrame) -> DataFrame:
         if chosen.isEmpty():
             break
         label = names.withColumnRenamed("node", "x")
-        own = many.select("s", "x", "n", "pos").join(chosen.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti").join(label, "x")
+        left = many.select("s", "x", "n", "pos").join(chosen.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti")
+        # a document's label is looked up once for all its regions, of which it has n / 4 + 1 at most
+        by_document = left.groupBy("x", "n").agg(F.collect_list(F.struct("s", "pos")).alias("regions")).join(label, "x")
+        own = by_document.select("x", "n", "label", F.explode("regions").alias("r")).select("r.s", "x", "n", "r.pos", "label")
         # the largest component of each region; only its pivots can send members away
         shares = own.groupBy("s", "label").agg(F.count(F.lit(1)).alias("docs"))
         largest = shares.groupBy("s").agg(F.max(F.struct("docs", "label"))["label"].alias("main"), F.sum("docs").alias("docs"),
@@ -218,7 +236,10 @@ def linked(sets: DataFrame) -> DataFrame:
         own = stored(own.join(largest, "s").select("s", "x", "n", "pos", "label", "docs", (F.col("label") != F.col("main")).alias("ask")))
         pivots = chosen.select("s", F.col("p").alias("x"), "np").join(label, "x").select("s", F.col("x").alias("p"), "np", F.col("label").alias("lp"))
         mains = own.where(~F.col("ask")).groupBy("s").agg(F.min("label").alias("lp"))
-        to = own.join(pivots.join(mains, ["s", "lp"], "left_semi"), "s")
+        # two pivots of a region are enough to send members away
+        first = F.row_number().over(W.partitionBy("s").orderBy("p"))
+        main_pivots = pivots.join(mains, ["s", "lp"], "left_semi").withColumn("k", first).where(F.col("k") <= WINDOWS).drop("k")
+        to = own.join(main_pivots, "s")
         both = to.withColumn("hi", F.greatest("x", "p")).withColumn("lo", F.least("x", "p")).join(
             done.select(F.col("x").alias("hi"), F.col("p").alias("lo"), "d"), ["hi", "lo"], "left")
         # where a distance wasn't measured, sizes still give its least value
@@ -227,10 +248,16 @@ def linked(sets: DataFrame) -> DataFrame:
         away = both.where(~F.col("ask") & F.col("d").isNotNull()).join(reach, ["s", "p"]).where(
             F.col("d") < F.col("reach") - radius - 1e-9).select("s", "x").distinct()
         active = stored(own.join(away, ["s", "x"], "left_anti"))
-        classes_ *= 16
+        classes_ *= GROWTH
     return names
 
 
+def _sized(keys: DataFrame) -> DataFrame:
+    """Keys to join texts with: sent to all tasks up to BROADCAST_KEYS, so that texts stay where they are; shuffled beyond."""
+    kept = stored(keys)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_KEYS else kept
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """row_key, doc_id, n_shingles, component_id of every row.
 
@@ -242,12 +269,12 @@ def classes(docs: DataFrame) -> DataFrame:
     keyed = rows.select("row_key", "doc_id", "text", F.xxhash64("text", F.lit("node")).alias("node"))
     info = stored(keyed.select("row_key", "doc_id", "node", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")))
     first = info.groupBy("node").agg(F.min("row_key").alias("first"), F.count(F.lit(1)).alias("rows"))
-    copies = info.join(first.where("rows > 1"), "node").where(F.col("row_key") != F.col("first")).select("row_key")
+    copies = _sized(info.join(first.where("rows > 1"), "node").where(F.col("row_key") != F.col("first")).select("row_key").distinct())
     nodes = keyed.join(copies, "row_key", "left_anti").where(F.col("text").isNotNull()).select("node", "text")
     total = info.agg(F.sum("size")).first()[0] or 0
     buckets = 1 << max(6, (int(total) // PACK_BYTES).bit_length())
-    counts = stored(shared_counts(nodes, buckets).groupBy("node").agg(F.max("n").alias("n"), F.max("shared").alias("shared")))
-    live = counts.where((F.col("n") > 0) & (DENOMINATOR * F.col("shared") >= NUMERATOR * F.col("n"))).select("node")
+    counts = stored(shared_counts(nodes, buckets).groupBy("node").agg(F.max("n").alias("n"), F.sum("shared").alias("shared")))
+    live = _sized(counts.where((F.col("n") > 0) & (DENOMINATOR * F.col("shared") >= NUMERATOR * F.col("n"))).select("node"))
     python_batches(docs.sparkSession)
 
     def cut(batches):
