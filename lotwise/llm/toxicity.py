@@ -13,6 +13,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +29,11 @@ ENTRIES = 2_000
 CONTEXT = 80  # characters of the window on each side
 QUOTED, QUOTED_WEIGHT = 0.3, 10.0  # belief, and its weight in documents, before training has seen quotations
 BASE = 0.01  # score of a document without any hit
-WEAK = 0.25  # hits that say less are chance, and their sum is no evidence either
+WEAK = 0.5  # hits that say less are chance, and their sum is no evidence either
 RARE = 2  # documents that hold a rare misspelling, at most
 STATES = 100_000
+MINIMA = 4  # of a document's shingle hashes, by which copies are recognised
+FORMS = 3  # word forms that recur, at least, behind a stem
 
 
 def edits(entry: str) -> int:
@@ -157,6 +160,30 @@ def _terms(batches):
         yield term, 0, n
 
 
+def _minima(batches):
+    """label, text and the least hash of each text's shingles of five words, under MINIMA hash functions."""
+    factors = np.array([2654435761, 2246822519, 3266489917, 668265263][:MINIMA], np.uint64)  # fixed values: odd multipliers
+    for batch in batches:
+        least = []
+        for text in batch.column(1).to_pylist():
+            words = WORD.findall((text or "").lower())
+            own = {zlib.crc32(" ".join(words[k:k + 5]).encode()) for k in range(max(1, len(words) - 4))}
+            mixed = np.fromiter(own, np.uint64)[:, None] * factors
+            least.append((mixed ^ (mixed >> np.uint64(15))).min(0).astype(np.int64))
+        columns = [pa.array([m[k] for m in least], pa.int64()) for k in range(MINIMA)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["label", "text", *(f"m{k}" for k in range(MINIMA))])
+
+
+def without_copies(train: DataFrame) -> DataFrame:
+    """One labelled text of each group of copies: texts that agree in any least hash count once per label."""
+    found = train.select("label", "text").mapInArrow(
+        _minima, "label int, text string, " + ", ".join(f"m{k} long" for k in range(MINIMA)))
+    for k in range(MINIMA):
+        one = F.min_by(F.struct("text", *(f"m{j}" for j in range(MINIMA))), F.xxhash64("text"))
+        found = found.groupBy("label", F.col(f"m{k}").alias("group")).agg(one.alias("one")).select("label", "one.*")
+    return found.select("label", "text")
+
+
 def _contexts(batches, wanted: set[str]):
     """Each wanted term of each text with a hash of the words beside it."""
     for batch in batches:
@@ -168,6 +195,17 @@ def _contexts(batches, wanted: set[str]):
                         yield term, zlib.crc32(" ".join((*words[max(0, i - 1):i], "", *words[i + 1:i + 2])).encode())
 
 
+def _forms(batches, stems: list[str]):
+    """Each wanted stem with the whole words that begin with it, once per text, and a hash of the text."""
+    wanted = set(stems)
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            for w in set(WORD.findall((text or "").lower())):
+                for k in range(STEM, min(len(w), 12) + 1):
+                    if w[:k] + "*" in wanted:
+                        yield w[:k] + "*", w, zlib.crc32((text or "").encode())
+
+
 def _rows(names: list[str], kinds: list, rows, size: int = 20_000):
     schema = pa.schema(list(zip(names, kinds, strict=True)))
     part = []
@@ -196,12 +234,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> dict:
     The model holds up to ENTRIES entries, the strongest ones, and shares of toxic documents by misspelling. Without labels of both
     kinds the lexicon is empty.
     """
-    train = stored(labelled(docs, labels, "toxic", sample).select("text", "label"))
+    python_batches(docs.sparkSession)
+    every = stored(labelled(docs, labels, "toxic", sample).select("label", "text"))
+    train = stored(without_copies(every).select("text", "label"))
     n_tox, n_clean = train.agg(F.count_if(F.col("label") > 0), F.count_if(F.col("label") <= 0)).first()
     model = {"entries": [], "weights": [], "variants": {}, "by_edits": {}, "quoted": QUOTED}
     if not n_tox or not n_clean:
         return model
-    python_batches(docs.sparkSession)
     terms = train.mapInArrow(
         lambda batches: _rows(["term", "tox", "clean"], [pa.string(), pa.int64(), pa.int64()], _terms(batches)),
         "term string, tox long, clean long").groupBy("term").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"))
@@ -216,6 +255,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> dict:
         lambda batches: _rows(["term", "place"], [pa.string(), pa.int64()], _contexts(batches, wanted)),
         "term string, place long").groupBy("term").agg(F.count_distinct("place").alias("n")).collect()}
     scored = {t: s for t, s in scored.items() if _surprise(min(s[1], places.get(t, 0)), s[2], n_tox, n_clean) >= SURPRISE}
+    # one word is better named whole, with its misspellings; a stem stands for a family of words that recur
+    stems = [t for t in scored if t[-1] == "*"]
+    forms = train.where(F.col("label") > 0).mapInArrow(
+        lambda batches: _rows(["stem", "form", "place"], [pa.string(), pa.string(), pa.int64()], _forms(batches, stems)),
+        "stem string, form string, place long").groupBy("stem", "form").agg(F.count_distinct("place").alias("n"))
+    backed = {r.stem: r.n for r in forms.groupBy("stem").agg(F.count_if(F.col("n") >= 3).alias("n")).collect()}
+    scored = {t: s for t, s in scored.items() if t[-1] != "*" or backed.get(t, 0) >= FORMS}
     share = {t: (s[1] + 1) / (s[1] + s[2] + 2) for t, s in scored.items()}
     kept = []
     for term in sorted(scored, key=lambda t: (len(t), t)):
@@ -266,14 +312,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> dict:
     return model
 
 
+def _distinct(hits: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, int, bool]]:
+    """Each word that hit, once; quoted if it is at all its places."""
+    quoted: dict[tuple[str, int, int], bool] = {}
+    for *hit, q in hits:
+        quoted[tuple(hit)] = quoted.get(tuple(hit), True) and q
+    return sorted((*hit, q) for hit, q in quoted.items())
+
+
 def score_text(text: str | None, lexicon: Lexicon, model: dict) -> tuple[float, list]:
-    """Score and hits of one text: the chance that at least one hit is abuse, hits being independent."""
+    """Score and hits of one text: the chance that at least one word is abuse, different words being independent.
+
+    A word that is quoted at every place counts as quoted; repeats add nothing. Misspellings of a stem
+    count only if training has seen them: a stem lets any ending pass, so that most words near it are other words.
+    """
     hits = lexicon.hits(text or "")
     clean = 1.0 - BASE
-    for word, entry, e, quoted in hits:
+    for word, entry, e, quoted in _distinct(hits):
         weight = model["weights"][entry]
         if e:
-            weight *= model["variants"].get(word, model["by_edits"][entry, e])
+            unseen = 0.0 if model["entries"][entry][1] else model["by_edits"][entry, e]
+            weight *= model["variants"].get(word, unseen)
         if weight < WEAK:
             continue
         clean *= 1.0 - weight * (model["quoted"] if quoted else 1.0)
