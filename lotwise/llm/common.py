@@ -76,13 +76,15 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches as array<struct<start, stop, value>>, code points, end exclusive.
 
     ``split`` gives the text between the matches and ``regexp_extract_all`` the matches themselves;
-    lengths added up give the places. Null text: no match.
+    lengths added up give the places, first inside blocks of about the square root of the number of matches, then over
+    the blocks, so that no array of all matches is copied once per match. Null text: no match.
     """
+    kind = "array<struct<start:int,stop:int,value:string>>"
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"),
-                     F.array().cast("array<struct<start:int,stop:int,value:string>>").alias("found"))
+    # the last gap has no match after it; its struct is left out
+    pieces = F.slice(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value")),
+                     F.lit(1), F.size(whole))
 
     def step(acc: Column, piece: Column) -> Column:
         begin = acc["at"] + F.length(piece["gap"])
@@ -92,7 +94,20 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
             F.array_append(acc["found"], F.struct(begin.alias("start"), end.alias("stop"),
                                                   piece["value"].alias("value"))).alias("found"))
 
-    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    # the last gap has no match after it; its struct is left out
-    with_match = F.slice(pieces, F.lit(1), F.size(whole))
-    return F.when(text.rlike(pattern), F.aggregate(with_match, start, step, lambda acc: acc["found"])).otherwise(none)
+    def block(part: Column) -> Column:
+        return F.aggregate(part, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found")), step)
+
+    def placed(all_pieces: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(all_pieces))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_pieces) - 1) / size).cast("int")),
+                             lambda k: block(F.slice(all_pieces, k * size + 1, size)))
+
+        def shift(acc: Column, b: Column) -> Column:
+            moved = F.transform(b["found"], lambda m: F.struct((m["start"] + acc["at"]).alias("start"), (m["stop"] + acc["at"]).alias("stop"), m["value"].alias("value")))
+            return F.struct((acc["at"] + b["at"]).alias("at"), F.array_append(acc["found"], moved).alias("found"))
+
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("found"))
+        return F.aggregate(blocks, begin, shift, lambda acc: F.flatten(acc["found"]))
+
+    # through a transform of one element, so that the pieces are made once
+    return F.when(text.rlike(pattern), F.element_at(F.transform(F.array(pieces), placed), 1)).otherwise(F.array().cast(kind))

@@ -1,8 +1,9 @@
 """Personal data: format rules, and a character-level bidirectional LSTM with CRF transitions.
 
-The rules label spans of a bounded sample of documents; the network learns them in numpy. At scoring,
-stretches of text around digits and @ signs, without which none of the four kinds exists, are cut into overlapping windows. Scores of
-a character from all its windows are averaged, and one Viterbi pass over the whole stretch decides all
+The rules label spans of a bounded sample of documents; the network learns them in numpy, together with other ways of
+writing the same values, which no rule matches: spelled-out and bracketed signs, other separators, numbers without the plus. At scoring,
+stretches of text around digits, @ signs and an "at" or "dot" in their place, without which none of the four kinds exists, are cut into
+overlapping windows. Scores of a character from all its windows are averaged, and one Viterbi pass over the whole stretch decides all
 its tags together. Spans of the rules always stay; decoded spans that touch none are added.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import io
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,13 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (13, 19), (9, 15)
 
-TRIGGER = re.compile(r"[0-9@]")
+# the same formats as read by base_spans: a match never begins or ends inside a run of digits, so a run is read once
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)++")
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
+IP_ONCE = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
+
+TRIGGER = re.compile(r"[0-9@]+|[\[(] ?(?:at|dot) ?[\])]| at [A-Za-z0-9-]{1,63}(?: dot |\.)[A-Za-z0-9]")
+LONG, LAP = 4_096, 256  # characters of a stretch that is decoded at once, and overlap with the next one
 MARGIN = 16  # characters of a stretch before its first and after its last trigger
 WINDOW, STEP = 64, 32
 HIDDEN = 16
@@ -41,15 +49,32 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, digits[-1::-2])) + sum(doubled)) % 10 == 0
 
 
+def emails(text: str):
+    """Starts and stops of EMAIL's matches in time that grows with the text: each @ is tried once."""
+    low, at = 0, text.find("@")
+    while at >= 0:
+        domain = DOMAIN.match(text, at + 1)
+        begin = low
+        while domain and begin < at:  # the last run of local characters before the @
+            run = LOCAL.match(text, begin, at).end()
+            if run == at:
+                break
+            begin = run + 1
+        if domain and begin < at:
+            yield begin, domain.end()
+        low = domain.end() if domain and begin < at else at + 1
+        at = text.find("@", max(low, at + 1))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, stop) by the rules, leftmost non-overlapping within a kind, ordered by kind and start."""
     out = []
     if "@" in text:
-        out += [(0, *m.span()) for m in EMAIL.finditer(text)]
+        out += [(0, *m) for m in emails(text)]
     if not re.search("[0-9]", text):
         return out
     small = lambda part: len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255
-    out += [(1, *m.span()) for m in IP.finditer(text) if all(map(small, m[0].split(".")))]
+    out += [(1, *m.span()) for m in IP_ONCE.finditer(text) if all(map(small, m[0].split(".")))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits):
@@ -79,7 +104,7 @@ def classes(text: str) -> np.ndarray:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Places where personal data can be: around triggers, joined where they touch."""
+    """Places where personal data can be: around triggers, joined where they touch, in overlapping parts of at most LONG."""
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
         a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
@@ -87,7 +112,7 @@ def stretches(text: str) -> list[tuple[int, int]]:
             out[-1][1] = b
         else:
             out.append([a, b])
-    return [(a, b) for a, b in out]
+    return [(s, min(s + LONG, b)) for a, b in out for s in range(a, max(a + 1, b - LAP), LONG - LAP)]
 
 
 def window_starts(length: int) -> list[int]:
@@ -176,13 +201,14 @@ def loss_and_gradient(ids: np.ndarray, tags: np.ndarray, model: dict) -> tuple[f
     return float(total.sum() - score) / rows, {k: v / rows for k, v in grad.items()}
 
 
-def train(ids: np.ndarray, tags: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.02, seed: int = 3) -> dict:
-    """Adam on mini-batches; the order is fixed by the seed."""
+def train(ids: np.ndarray, tags: np.ndarray, epochs: int = 10, batch: int = 64, rate: float = 0.03, seed: int = 3) -> dict:
+    """Adam on mini-batches, in steps that shrink to a twentieth; the order is fixed by the seed."""
     rng = np.random.default_rng(seed)
     shape = {"table_a": (CLASSES, 4 * HIDDEN), "table_b": (CLASSES, 4 * HIDDEN), "rec_a": (HIDDEN, 4 * HIDDEN), "rec_b": (HIDDEN, 4 * HIDDEN),
              "out": (2 * HIDDEN, TAGS), "bias": (TAGS,), "move": (TAGS, TAGS)}
     model = {k: rng.normal(0, 0.15, s) for k, s in shape.items()}
     first, second, steps = {k: np.zeros(s) for k, s in shape.items()}, {k: np.zeros(s) for k, s in shape.items()}, 0
+    whole = max(1, epochs * max(1, len(ids) // batch))
     for _ in range(epochs if len(ids) else 0):
         for part in np.array_split(rng.permutation(len(ids)), max(1, len(ids) // batch)):
             steps += 1
@@ -192,7 +218,7 @@ def train(ids: np.ndarray, tags: np.ndarray, epochs: int = 6, batch: int = 64, r
                 g = g * min(1.0, 5.0 / max(norm, 1e-9))
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
-                model[k] -= rate * (first[k] / (1 - 0.9**steps)) / (np.sqrt(second[k] / (1 - 0.99**steps)) + 1e-8)
+                model[k] -= rate * max(0.05, 1 - steps / whole) * (first[k] / (1 - 0.9**steps)) / (np.sqrt(second[k] / (1 - 0.99**steps)) + 1e-8)
     if not len(ids):
         model = {k: np.zeros(s) for k, s in shape.items()}
         model["bias"][0] = 10.0  # nothing was learned: everything is outside
@@ -228,6 +254,10 @@ def viterbi(scores: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
 def decoded(texts_: list[str], model: dict) -> list[list[tuple[int, int, int]]]:
     """(kind, start, stop) that the network finds in each text."""
     places = [(k, a, b) for k, text in enumerate(texts_) for a, b in stretches(text)]
+    inner: list[set[int]] = [set() for _ in texts_]  # starts of parts that continue an earlier one
+    for (k, _, b), (other, c, _) in zip(places, places[1:]):
+        if k == other and c < b:
+            inner[k].add(c)
     ids, starts = [], []
     coded = {k: classes(texts_[k]) for k in {p[0] for p in places}}
     for k, a, b in places:
@@ -259,29 +289,62 @@ def decoded(texts_: list[str], model: dict) -> list[list[tuple[int, int, int]]]:
         new = (np.diff(marked, prepend=-2) > 1) | (tags[marked] % 2 == 1) | (np.diff(kinds, prepend=-1) != 0)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(marked)) - 1
-        found[k] += [(int(kinds[i]), int(a + marked[i]), int(a + marked[j]) + 1) for i, j in zip(first, last, strict=True)]
+        spans = [(int(kinds[i]), int(a + marked[i]), int(a + marked[j]) + 1) for i, j in zip(first, last, strict=True)]
+        # in the overlap of two parts, each decides the spans that begin in its half
+        low, high = a + (LAP // 2 if a in inner[k] else 0), a + LONG - LAP // 2 if a + LONG - LAP in inner[k] else len(texts_[k])
+        found[k] += [m for m in spans if low <= m[1] < high]
     return found
 
 
-def _examples(texts_: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Windows and their tags by the rules."""
+def variant(kind: int, value: str, pick: int) -> str:
+    """Another way to write a value that a rule found; no rule matches it. ``pick`` chooses the way."""
+    digits = re.sub("[^0-9]", "", value)
+    if kind == 0:
+        name, _, domain = value.partition("@")
+        at = (" at ", "(at)", "[at]", " (at) ", " [at] ", "@")[pick % 6]
+        dot = (" dot ", "(dot)", "[dot]", " [dot] ", "[.]")[pick // 6 % 5]
+        return name + at + domain.replace(".", dot)
+    if kind == 1:
+        return value.replace(".", ("[.]", " . ", "(.)", "[dot]", ",")[pick % 5])
+    if kind == 2:
+        gap = (".", "/", "  ", "_", " - ")[pick % 5]
+        return gap.join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    local = digits[-10:]
+    area, middle, last = local[:-7], local[-7:-4], local[-4:]
+    return (f"({area}) {middle}-{last}", f"00{digits[:-10]} {area} {middle} {last}", f"{area}-{middle}-{last}",
+            f"{area}.{middle}.{last}", f"({area}) {middle} {last}", f"{area}/{middle}/{last}")[pick % 6]
+
+
+def _windows(text: str, spans: list[tuple[int, int, int]], ids: list, tags: list) -> None:
+    coded, gold = classes(text), np.zeros(len(text), np.int8)
+    for kind, a, b in spans:
+        if not gold[a:b].any():
+            gold[a:b] = 2 + 2 * kind
+            gold[a] = 1 + 2 * kind
+    for a, b in stretches(text):
+        for s in window_starts(b - a):
+            stop = min(a + s + WINDOW, b)
+            pad = (0, WINDOW - (stop - a - s))
+            ids.append(np.pad(coded[a + s:stop], pad, constant_values=PAD))
+            tags.append(np.pad(gold[a + s:stop], pad))
+
+
+def _examples(texts_: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
+    """Windows, their tags, and whether they hold a variant: texts as the rules label them, then spans rewritten."""
     ids, tags = [], []
     for text in texts_:
-        coded, gold = classes(text), np.zeros(len(text), np.int8)
+        _windows(text, base_spans(text), ids, tags)
+    plain = len(ids)
+    for text in texts_:
         for kind, a, b in base_spans(text):
-            if not gold[a:b].any():
-                gold[a:b] = 2 + 2 * kind
-                gold[a] = 1 + 2 * kind
-        for a, b in stretches(text):
-            for s in window_starts(b - a):
-                stop = min(a + s + WINDOW, b)
-                pad = (0, WINDOW - (stop - a - s))
-                ids.append(np.pad(coded[a + s:stop], pad, constant_values=PAD))
-                tags.append(np.pad(gold[a + s:stop], pad))
-    return ids, tags
-
-
-def fit(docs: DataFrame, sample: int = 6_000, windows: int = 2_500) -> bytes:
+            for way in range(2):
+                new = variant(kind, text[a:b], zlib.crc32(f"{way} {a} {text[a:b]}".encode()))
+                before, after = text[max(0, a - 2 * MARGIN):a], text[b:b + 2 * MARGIN]
+                _windows(before + new + after, [(kind, len(before), len(before) + len(new))], ids, tags)
+    return ids, tags, [i >= plain for i in range(len(ids))]
+
+
+def fit(docs: DataFrame, sample: int = 6_000, windows: int = 4_000) -> bytes:
     """The network, trained in one task on windows of a sample of documents; both numbers are bounds."""
     python_batches(docs.sparkSession)
     rows = stored(bounded(texts(docs).where(F.col("text").rlike("[0-9@]")), "row_key", sample).select("row_key", "text"))
@@ -289,16 +352,17 @@ def fit(docs: DataFrame, sample: int = 6_000, windows: int = 2_500) -> bytes:
     def cut(batches):
         for batch in batches:
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, tags = _examples([text])
+                ids, tags, varied = _examples([text])
                 if ids:
                     n = len(ids)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([key] * n), pa.array([i.astype(np.int16).tobytes() for i in ids], pa.binary()),
-                        pa.array([t.astype(np.int8).tobytes() for t in tags], pa.binary()), pa.array([bool(t.any()) for t in tags])],
-                        names=["row_key", "ids", "tags", "some"])
+                        pa.array([t.astype(np.int8).tobytes() for t in tags], pa.binary()), pa.array([(2 if v else 1) if t.any() else 0 for t, v in zip(tags, varied, strict=True)], pa.int32())],
+                        names=["row_key", "ids", "tags", "sort"])
 
-    examples = stored(rows.mapInArrow(cut, "row_key long, ids binary, tags binary, some boolean"))
-    parts = [bounded(examples.where(F.col("some") == s), "ids", windows // 2) for s in (True, False)]
+    examples = stored(rows.mapInArrow(cut, "row_key long, ids binary, tags binary, sort int"))
+    shares = {0: windows // 4, 1: windows // 4, 2: windows // 2}  # without a span, with one, with a variant
+    parts = [bounded(examples.where(F.col("sort") == s), "ids", n) for s, n in shares.items()]
 
     def learn(batches):
         got = sorted((b, c) for batch in batches for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
@@ -308,7 +372,7 @@ def fit(docs: DataFrame, sample: int = 6_000, windows: int = 2_500) -> bytes:
         np.savez(out, **model)
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
 
-    chosen = parts[0].unionByName(parts[1]).select("ids", "tags")
+    chosen = parts[0].unionByName(parts[1]).unionByName(parts[2]).select("ids", "tags")
     return bytes(chosen.repartition(1).mapInArrow(learn, "model binary").first()[0])
 
 
@@ -326,7 +390,14 @@ def find(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             whole = [t or "" for t in batch.column(2).to_pylist()]
             base = [base_spans(t) for t in whole]
-            more = decoded(whole, own)
+            more, part, room = [], [], 0
+            for t in whole:  # texts of some 100,000 characters together, so that memory doesn't grow with the batch
+                part.append(t)
+                room += len(t)
+                if room > 100_000:
+                    more += decoded(part, own)
+                    part, room = [], 0
+            more += decoded(part, own)
             both = [sorted(b + [m for m in extra if not any(m[1] < y and x < m[2] for _, x, y in b)]) for b, extra in zip(base, more, strict=True)]
             named = lambda rows: pa.array([[{"kind": KINDS[k], "start": a, "stop": z} for k, a, z in r] for r in rows], span)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), named(base), named(both)], names=["row_key", "doc_id", "base", "spans"])
