@@ -134,11 +134,12 @@ def test_secrets_by_brute_force(spark):
 
 
 def test_secrets_of_unknown_format(spark):
-    data = [(i, prose(i, 60).replace("w", "wordly") + " the information of documentation" + (f" token={hashlib.sha256(str(i).encode()).hexdigest()}" if i % 4 == 0 else "")) for i in range(200)]
-    odd = {900: "the gH7kQ2pXz9LmT4vBnR8s and", 901: "the 9f8e7d6c5b4a3928 and", 902: "the information documentation and"}
-    found = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(data + list(odd.items()), "doc_id long, text string")).where("doc_id >= 900").collect()}
-    assert all(not r.base for r in found.values()) and found[902].spans == []
-    assert [(s.kind, s.start, s.value) for i in (900, 901) for s in found[i].spans] == [("random", 4, odd[i].split()[1]) for i in (900, 901)]
+    odd = {10**7: "the gH7kQ2pXz9LmT4vBnR8s and", 10**7 + 1: "the 9f8e7d6c5b4a3928 and", 10**7 + 2: "the information documentation and"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    both = docs.unionByName(spark.createDataFrame(list(odd.items()), "doc_id long, text string"))
+    found = {r.doc_id: r for r in secrets.scan(both).where("doc_id >= 10000000").collect()}
+    assert all(not r.base for r in found.values()) and found[10**7 + 2].spans == []
+    assert {(s.kind, s.start, s.value) for r in found.values() for s in r.spans} == {("random", 4, odd[10**7 + k].split()[1]) for k in (0, 1)}
 
 
 def test_markov_ratio(spark):
