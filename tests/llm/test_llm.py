@@ -142,6 +142,15 @@ def test_secrets_of_unknown_format(spark):
     assert {(s.kind, s.start, s.value) for r in found.values() for s in r.spans} == {("random", 4, odd[10**7 + k].split()[1]) for k in (0, 1)}
 
 
+def test_value_of_a_rule_again_without_its_rule(spark):
+    value = "gH7kQ2pXz9LmT4vBnR8s"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    one = spark.createDataFrame([(10**7, f"the secret={value} and {value} of")], "doc_id long, text string")
+    found = secrets.scan(docs.unionByName(one)).where("doc_id = 10000000").first()
+    assert [(s.kind, s.start, s.value) for s in found.base] == [("assign", 4, value)]
+    assert [(s.kind, s.start, s.value) for s in found.spans] == [("assign", 4, value), ("random", 36, value)]
+
+
 def test_markov_ratio(spark):
     samples = [(hashlib.sha256(str(i).encode()).hexdigest(), True) for i in range(200)] + [(w, False) for w in ("information", "configuration", "document_identifier", "background") * 50]
     ratio = secrets.log_ratios(spark.createDataFrame(samples, "value string, random boolean")).first()["ratio"]
