@@ -77,6 +77,16 @@ def test_validation_order(spark):
     assert got == cases
 
 
+def test_log_is_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "Buy"), (2, "Pass")], "id int, recommendation string")
+    records = writers.prediction_log(rows, ["id"], {"m1": "a"})
+    writers.append_log(records, str(tmp_path / "log"))
+    files = [p.name for p in (tmp_path / "log").iterdir() if p.name.startswith("part-")]
+    assert files and all(name.endswith(".json.gz") for name in files)
+    back = spark.read.schema(records.schema).json(str(tmp_path / "log"))
+    assert sorted(back.select("vehicle.id", "result.recommendation").collect()) == [(1, "Buy"), (2, "Pass")]
+
+
 def test_scenarios_match_single_runs(spark):
     score = scorer(spark)
     listings = batch.typed(spark.createDataFrame(
