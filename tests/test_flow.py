@@ -77,6 +77,24 @@ def test_validation_order(spark):
     assert got == cases
 
 
+def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", "5000")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    df.sparkSession.conf.unset("spark.sql.debug.maxToStringFields")
+    return plan
+
+
+def test_listings_are_parsed_once(spark):
+    raw = spark.createDataFrame([(2, "kia", "rio", "2015.0", "10", "30")],
+                                "row int, make string, model string, year string, odometer string, condition string")
+    # one match per number, though the error is compared and returned
+    bad = batch.validate(raw).where(F.col("error").isNotNull()).select("row", "error")
+    assert plan_of(bad).count("RLIKE") == 3
+    # results and errors read the stored parse
+    both = batch.triage(raw, scorer(spark))
+    assert not any("RLIKE" in plan_of(df) for df in both)
+
+
 def test_log_is_compressed(spark, tmp_path):
     rows = spark.createDataFrame([(1, "Buy"), (2, "Pass")], "id int, recommendation string")
     records = writers.prediction_log(rows, ["id"], {"m1": "a"})
