@@ -95,6 +95,15 @@ def test_listings_are_parsed_once(spark):
     assert not any("RLIKE" in plan_of(df) for df in both)
 
 
+def test_sentences_are_made_only_where_asked_for(spark):
+    raw = spark.createDataFrame([(2, "kia", "rio", "2015.0", "10", "30")],
+                                "row int, make string, model string, year string, odometer string, condition string")
+    results = ev.evaluate(scorer(spark)(batch.typed(batch.validate(raw))))
+    asked = "predicted resale disagrees"
+    assert asked not in plan_of(results.select("recommendation", "predicted_resale_price", "confidence"))
+    assert asked in plan_of(results.select("resale_confidence"))
+
+
 def test_log_is_compressed(spark, tmp_path):
     rows = spark.createDataFrame([(1, "Buy"), (2, "Pass")], "id int, recommendation string")
     records = writers.prediction_log(rows, ["id"], {"m1": "a"})

@@ -32,3 +32,10 @@ def test_no_number_and_odd_numbers(spark):
     df = spark.createDataFrame([(None,), (math.inf,), (-math.inf,), (math.nan,)], "x double")
     got = [r[0] for r in df.select(round_exact(F.col("x"), 2)).collect()]
     assert got[:3] == [None] * 3 and math.isnan(got[3])
+
+
+def test_numbers_away_from_ties_need_no_text(spark):
+    """Only what is near a tie, or large, goes through a number format."""
+    df = spark.createDataFrame([(1.0,)], "x double").select(round_exact(F.col("x"), 2).alias("y"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.index("rint") < plan.index("format_number")
