@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.parse import dirty_number, norm_text, or_unknown, plain_number, strip_transmission
+from ..functions.parse import (dirty_number, norm_column, or_unknown, strip_column, strip_transmission,
+                               stripped_number)
 
 
 def parsed_once(df: DataFrame) -> DataFrame:
@@ -20,15 +21,20 @@ def parsed_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def stripped(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns without white space around them: a column of its own is made once, however often it is read."""
+    return raw.withColumns({c: strip_column(F.col(c).cast("string")) for c in columns})
+
+
 def parse_sales(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed sales from raw text columns; ``keep`` carries extra columns through."""
-    return parsed_once(raw.select(
+    return parsed_once(stripped(raw, ["year", "condition"]).select(
         dirty_number(F.col("sellingprice")).alias("price"),
         dirty_number(F.col("mmr")).alias("mmr"),
-        plain_number(F.col("year")).alias("year"),
+        stripped_number(F.col("year")).alias("year"),
         dirty_number(F.col("odometer")).alias("mileage"),
-        plain_number(F.col("condition")).alias("condition"),
-        *[norm_text(F.col(c)).alias(c)
+        stripped_number(F.col("condition")).alias("condition"),
+        *[norm_column(F.col(c)).alias(c)
           for c in ("make", "model", "body", "transmission", "state", "color")],
         *keep,
     ))
@@ -69,31 +75,32 @@ def clean_sales(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def from_retail(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _common(raw, "price", "year", "mileage", "make",
-                   strip_transmission(F.col("model")), F.col("state"), None,
+    raw = raw.withColumn("model", strip_transmission(F.col("model")))
+    return _common(raw, "price", "year", "mileage", "make", "model", "state", None,
                    "retail", "true_car_listings", keep)
 
 
 def from_auction(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _common(raw, "sellingprice", "year", "odometer", "make", F.col("model"),
-                   F.col("state"), "condition", "wholesale", "car_prices", keep)
+    return _common(raw, "sellingprice", "year", "odometer", "make", "model",
+                   "state", "condition", "wholesale", "car_prices", keep)
 
 
 def from_recent(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _common(raw, "price", "model_year", "milage", "brand", F.col("model"),
-                   F.lit(None), None, "retail", "used_cars", keep)
+    return _common(raw, "price", "model_year", "milage", "brand", "model",
+                   None, None, "retail", "used_cars", keep)
 
 
 def _common(raw, price, year, mileage, make, model, state, condition, channel, source, keep):
-    grade = plain_number(F.col(condition)) if condition else F.lit(None).cast("double")
+    raw = stripped(raw, [c for c in (year, condition) if c])
+    none = F.lit(None).cast("string")
     return parsed_once(raw.select(
         dirty_number(F.col(price)).alias("price"),
-        plain_number(F.col(year)).alias("year"),
+        stripped_number(F.col(year)).alias("year"),
         dirty_number(F.col(mileage)).alias("mileage"),
-        norm_text(F.col(make)).alias("make"),
-        norm_text(model).alias("model"),
-        norm_text(state).alias("state"),
-        grade.alias("condition"),
+        norm_column(F.col(make)).alias("make"),
+        norm_column(F.col(model)).alias("model"),
+        (norm_column(F.col(state)) if state else none).alias("state"),
+        (stripped_number(F.col(condition)) if condition else none.cast("double")).alias("condition"),
         F.lit(channel).alias("source_channel"),
         F.lit(source).alias("source"),
         *keep,
