@@ -151,6 +151,16 @@ def test_value_of_a_rule_again_without_its_rule(spark):
     assert [(s.kind, s.start, s.value) for s in found.spans] == [("assign", 4, value), ("random", 37, value)]
 
 
+def test_secrets_learn_from_every_document(spark, monkeypatch):
+    """A word of any document, also of more than 20,000, trains the ordinary model or sets the threshold."""
+    word = F.translate(F.concat(F.lit("word"), F.col("id").cast("string")), "0123456789", "abcdefghij")
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.concat(word, F.lit(" password=x7Kq2ZpL")).alias("text"))
+    seen, learn = [], secrets.learned
+    monkeypatch.setattr(secrets, "learned", lambda samples: seen.append(samples) or learn(samples))
+    assert secrets.scan(docs).where("size(base) != 1").count() == 0
+    assert {r.random: r["count"] for r in seen[0].groupBy("random").count().collect()} == {False: 21_000, True: 1}
+
+
 def test_markov_ratio(spark):
     samples = [(hashlib.sha256(str(i).encode()).hexdigest(), True) for i in range(200)] + [(w, False) for w in ("information", "configuration", "document_identifier", "background") * 50]
     ratio = secrets.log_ratios(spark.createDataFrame(samples, "value string, random boolean")).first()["ratio"]
